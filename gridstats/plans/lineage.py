@@ -1,0 +1,22 @@
+"""Computing a small result once when several jobs need it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
+    """``df`` computed now and kept in the checkpoint folder, so that later jobs read neither the input
+    nor, after a lost executor, compute it anew with sums in another order.
+
+    The folder is the one ``spark.checkpoint.dir`` names; only where that is unset, ``fallback_dir``,
+    which must be visible to every executor. Meant for results, which are small, not for readings.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None) or fallback_dir
+        if folder is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
