@@ -24,12 +24,13 @@ _copies: dict[tuple[str, str, str], str] = {}
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # No broadcast hint: suppliers grow with the data, so Spark decides by size at run time.
+    # No broadcast hint: suppliers grow with the data, so Spark decides by size. Supplier first: Spark
+    # takes the product of both sizes for a join, and would rather broadcast the line items than that.
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    zones = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
-    return lineitem.join(zones, lineitem.l_suppkey == zones.s_suppkey).select(
+    supplied = lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
+    return supplied.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         F.col("l_shipdate").cast("string").alias(TIME),
         F.col("n_name").alias(ZONE),
         F.col("l_extendedprice").alias(CI),
@@ -61,15 +62,20 @@ def copied(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     return gs.read_readings(spark, _copies[key], fmt)
 
 
-def rounded(df: DataFrame, prefix: str = "avg_", digits: int = 6) -> DataFrame:
-    """Averages to a fixed number of digits: the order of summation is not fixed."""
+def steady(df: DataFrame, prefix: str = "avg_", digits: int = 8) -> DataFrame:
+    """Averages without their last bits, which depend on the order of summation: equal averages become
+    equal values and an exact half stays one."""
     return df.select(
         *[F.round(c, digits).alias(c) if c.startswith(prefix) else F.col(c) for c in df.columns]
     )
 
 
+def rounded(df: DataFrame) -> DataFrame:
+    return steady(steady(df), digits=6)
+
+
 def averages(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return gs.monthly_averages(readings(spark, sf_dir), HOME, **options)
+    return steady(gs.monthly_averages(readings(spark, sf_dir), HOME, **options))
 
 
 def scan_parquet_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +116,7 @@ def zone_year_stats_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zone_year_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = gs.zone_year_keyed(readings(spark, sf_dir))
-    return rounded(gs.period_sums(keyed, ["country", "year"]), "sum_", 3)
+    return steady(gs.period_sums(keyed, ["country", "year"]), "sum_", 3)
 
 
 def partials_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +168,7 @@ def monthly_report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zone_year_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
-    stats = gs.zone_year_stats(readings(spark, sf_dir))
+    stats = steady(gs.zone_year_stats(readings(spark, sf_dir)))
     gs.save_zone_year_report(stats, path)
     return rounded(spark.read.schema(stats.schema).option("header", True).csv(path))
 
@@ -182,7 +188,8 @@ def period_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_year_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = gs.zone_year_points(gs.zone_year_stats(readings(spark, sf_dir), sort=False), APP)
+    stats = steady(gs.zone_year_stats(readings(spark, sf_dir), sort=False))
+    points = gs.zone_year_points(stats, APP)
     return points.select(
         "measurement",
         F.col("tags")["country"].alias("country"),
@@ -307,8 +314,8 @@ SCAN = f"WITH {R} SELECT {', '.join(READINGS.names)} FROM readings"
 STATS = f"""
 stats AS (
   SELECT {ZONE} AS country, CAST(year(t) AS INTEGER) AS year,
-         avg({CI}) AS {AVG_CI}, min({CI}) AS min_{CI}, max({CI}) AS max_{CI},
-         avg({CFE}) AS {AVG_CFE}, min({CFE}) AS min_{CFE}, max({CFE}) AS max_{CFE}
+         round(avg({CI}), 8) AS {AVG_CI}, min({CI}) AS min_{CI}, max({CI}) AS max_{CI},
+         round(avg({CFE}), 8) AS {AVG_CFE}, min({CFE}) AS min_{CFE}, max({CFE}) AS max_{CFE}
   FROM readings GROUP BY ALL
 )"""
 
@@ -319,7 +326,8 @@ FROM stats ORDER BY country, year"""
 
 MONTHS = f"""
 months AS (
-  SELECT strftime(t, '%Y-%m') AS {YEAR_MONTH}, avg({CI}) AS {AVG_CI}, avg({CFE}) AS {AVG_CFE}
+  SELECT strftime(t, '%Y-%m') AS {YEAR_MONTH}, round(avg({CI}), 8) AS {AVG_CI},
+         round(avg({CFE}), 8) AS {AVG_CFE}
   FROM readings WHERE {ZONE} = '{HOME}' GROUP BY ALL
 )"""
 

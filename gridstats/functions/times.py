@@ -16,7 +16,7 @@ _WALL_CLOCK = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
 def parse_time(text: Column, on_bad: str = "null") -> Column:
-    """Parse ``yyyy-MM-dd HH:mm:ss`` text.
+    """Parse ``yyyy-MM-dd HH:mm:ss`` text, years 0001 to 9999.
 
     Other text, also text that a plain cast would take such as ``2021-1-5``, gives null, or an error
     with ``on_bad="fail"``. Null stays null.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,12 +50,21 @@ def with_period(
     if unit == "month_start":
         return df.withColumn(out or "month_start", times.month_start(parsed))
     if unit == "year_month_parts":
-        return df.withColumns({YEAR: F.year(parsed), MONTH: F.month(parsed)})
+        return _parts(df, parsed, {YEAR: F.year, MONTH: F.month})
     if unit == "year_day_parts":
-        return df.withColumns({YEAR: F.year(parsed), DAY_OF_YEAR: F.dayofyear(parsed)})
+        return _parts(df, parsed, {YEAR: F.year, DAY_OF_YEAR: F.dayofyear})
     raise ValueError(f"unknown unit {unit!r}")
 
 
+def _parts(
+    df: DataFrame, parsed: Column, parts: dict[str, Callable[[Column], Column]]
+) -> DataFrame:
+    # In a column of its own the time is parsed once, not once per part.
+    day = "_day"
+    staged = df.withColumn(day, parsed.cast("date"))
+    return staged.withColumns({out: part(F.col(day)) for out, part in parts.items()}).drop(day)
+
+
 def period_start_ms(
     df: DataFrame,
     unit: str,

@@ -1,6 +1,6 @@
-"""The queries as SQL text over a registered table.
+"""The queries as SQL text over a view or table.
 
-Names are quoted, values are passed as parameters.
+Column names are quoted; the table's name and values are passed as parameters.
 """
 
 from __future__ import annotations
@@ -42,10 +42,10 @@ def zone_year_stats_sql(
     """Statistics per zone and year of a view that has a ``year`` column."""
     text = f"""
         SELECT {quote(zone)} AS {COUNTRY}, {YEAR}, {_select_list(metrics, ("avg", "min", "max"))}
-        FROM {quote(view)}
+        FROM IDENTIFIER(:view)
         GROUP BY {quote(zone)}, {YEAR}
     """
-    return spark.sql(text + (f"ORDER BY {COUNTRY}, {YEAR}" if sort else ""))
+    return spark.sql(text + (f"ORDER BY {COUNTRY}, {YEAR}" if sort else ""), args={"view": view})
 
 
 def monthly_averages_sql(
@@ -62,11 +62,12 @@ def monthly_averages_sql(
     text = f"""
         SELECT date_format(month_start, '{MONTH_FORMAT}') AS {YEAR_MONTH}, {kept}
                {_select_list(metrics, ("avg",))}
-        FROM {quote(view)}
+        FROM IDENTIFIER(:view)
         WHERE {quote(zone_column)} = :zone
         GROUP BY {kept}month_start
     """
-    return spark.sql(text + (f"ORDER BY {YEAR_MONTH}" if sort else ""), args={"zone": zone})
+    text += f"ORDER BY {YEAR_MONTH}" if sort else ""
+    return spark.sql(text, args={"view": view, "zone": zone})
 
 
 def top_k_sql(
@@ -79,8 +80,8 @@ def top_k_sql(
 ) -> DataFrame:
     """The first ``k`` rows of a view by one column."""
     order = [f"{quote(by)} {'ASC' if ascending else 'DESC'}", *map(quote, ties)]
-    text = f"SELECT * FROM {quote(view)} ORDER BY {', '.join(order)} LIMIT :k"
-    return spark.sql(text, args={"k": k})
+    text = f"SELECT * FROM IDENTIFIER(:view) ORDER BY {', '.join(order)} LIMIT :k"
+    return spark.sql(text, args={"view": view, "k": k})
 
 
 def monthly_rankings_sql(spark: SparkSession, view: str, k: int = TOP_K) -> dict[str, DataFrame]:

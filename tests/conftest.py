@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from gridstats.schema import READINGS  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    # A task may fail twice before its job does, as on a cluster.
+    session = (
+        SparkSession.builder.master("local[4,3]")
+        .appName("gridstats-tests")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "1000")
+        .config("spark.driver.memory", "4g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(autouse=True)
+def checkpoints(spark, tmp_path_factory):
+    """A checkpoint folder of the tests' own where the session names none."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.getbasetemp() / "checkpoints"))
+
+
+@pytest.fixture
+def make(spark):
+    """Readings from tuples ``(time, zone, ci, cfe)``."""
+
+    def readings(*rows, partitions: int | None = None):
+        df = spark.createDataFrame([tuple(r) for r in rows], READINGS)
+        return df if partitions is None else df.repartition(partitions)
+
+    return readings
+
+
+@pytest.fixture
+def basic(make):
+    return make(
+        ("2021-01-01 00:00:00", "IT", 100.0, 40.0),
+        ("2021-01-01 01:00:00", "IT", 200.0, 60.0),
+        ("2021-02-01 00:00:00", "IT", 300.0, 20.0),
+        ("2022-01-01 00:00:00", "SE", 10.0, 90.0),
+    )
+
+
+@pytest.fixture
+def random_readings(spark):
+    """About 20,000 readings of 6 zones, one of which holds half of them."""
+    from pyspark.sql import functions as F
+
+    hour = F.timestamp_add("HOUR", F.col("id") % 26000, F.lit("2019-06-01").cast("timestamp_ntz"))
+    zone = F.when(F.col("id") % 2 == 0, "IT").otherwise(F.concat(F.lit("Z"), F.col("id") % 5))
+    return spark.range(0, 20000, 1, 7).select(
+        hour.cast("string").alias("datetime_utc"),
+        zone.alias("zone_id"),
+        (F.rand(5) * 500).alias("carbon_intensity_gco2eq_per_kwh_direct"),
+        F.when(F.rand(6) > 0.1, F.rand(7) * 100).alias("carbon_free_energy_percentage_cfe"),
+    )
+
+
+def tuples(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def final_plan(df) -> str:
+    """The plan that ran, without the initial plan beside it."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+def close(a, b) -> bool:
+    """Equal rows, numbers to 1e-9 relative."""
+    return a == b or all(
+        x == y or (isinstance(x, float) and isinstance(y, float) and abs(x - y) <= 1e-9 * max(abs(x), abs(y)))
+        for x, y in zip(a, b, strict=True)
+    )

@@ -1,0 +1,144 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+import gridstats as gs
+from gridstats.schema import CFE, CI, METRICS, ZONE
+
+from conftest import close, tuples
+
+KEYS = ["country", "year"]
+FORMS = {
+    "one pass": gs.zone_year_stats,
+    "merged": gs.zone_year_stats_merged,
+    "joined": gs.zone_year_stats_joined,
+    "sql": lambda df: gs.zone_year_stats_sql(
+        df.sparkSession, gs.register(gs.with_period(df, "year"), "by_year")
+    ),
+}
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_zone_year(basic, form):
+    stats = FORMS[form](basic)
+    assert stats.columns == [*KEYS, *[f"{s}_{m}" for m in METRICS for s in ("avg", "min", "max")]]
+    assert tuples(stats) == [
+        ("IT", 2021, 200.0, 100.0, 300.0, 40.0, 20.0, 60.0),
+        ("SE", 2022, 10.0, 10.0, 10.0, 90.0, 90.0, 90.0),
+    ]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_nulls(make, form):
+    """Null values are skipped, a group without values has none, a group without a period stays."""
+    df = make(
+        ("2021-01-01 00:00:00", "IT", 100.0, None),
+        ("2021-01-01 01:00:00", "IT", 200.0, 60.0),
+        ("2021-01-01 00:00:00", "SE", 5.0, None),
+        ("bad", "IT", 3.0, 4.0),
+        ("2021-01-01 00:00:00", None, 7.0, 8.0),
+    )
+    assert tuples(FORMS[form](df)) == [
+        (None, 2021, 7.0, 7.0, 7.0, 8.0, 8.0, 8.0),
+        ("IT", None, 3.0, 3.0, 3.0, 4.0, 4.0, 4.0),
+        ("IT", 2021, 150.0, 100.0, 200.0, 60.0, 60.0, 60.0),
+        ("SE", 2021, 5.0, 5.0, 5.0, None, None, None),
+    ]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_nan_is_the_highest_value(make, form):
+    nan = float("nan")
+    df = make(("2021-01-01 00:00:00", "IT", nan, 1.0), ("2021-01-01 01:00:00", "IT", 7.0, 1.0))
+    row = FORMS[form](df).first()
+    assert row["min_" + CI] == 7.0
+    assert math.isnan(row["max_" + CI]) and math.isnan(row["avg_" + CI])
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_empty_input(make, form):
+    assert tuples(FORMS[form](make().where("false"))) == []
+
+
+def test_forms_agree_and_bounds_hold(random_readings):
+    expected = tuples(gs.zone_year_stats(random_readings))
+    assert len(expected) == 18
+    for r in expected:
+        assert r[3] <= r[2] <= r[4] and r[6] <= r[5] <= r[7]
+    for form in FORMS.values():
+        got = tuples(form(random_readings))
+        assert all(close(a, b) for a, b in zip(got, expected, strict=True))
+
+
+def test_against_plain_python(random_readings):
+    groups = {}
+    for time, zone, ci, cfe in tuples(random_readings):
+        groups.setdefault((zone, int(time[:4])), []).append((ci, cfe))
+    expected = []
+    for key in sorted(groups):
+        ci = [v[0] for v in groups[key]]
+        cfe = [v[1] for v in groups[key] if v[1] is not None]
+        stats = [f(m) for m in (ci, cfe) for f in (lambda v: math.fsum(v) / len(v), min, max)]
+        expected.append((*key, *stats))
+    got = tuples(gs.zone_year_stats(random_readings))
+    assert all(close(a, b) for a, b in zip(got, expected, strict=True))
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_partition_count_does_not_matter(random_readings, partitions):
+    expected = tuples(gs.zone_year_stats(random_readings))
+    got = tuples(gs.zone_year_stats(random_readings.repartition(partitions)))
+    assert all(close(a, b) for a, b in zip(got, expected, strict=True))
+
+
+def test_partials_merge_over_any_split(random_readings):
+    keyed = gs.zone_year_keyed(random_readings)
+    whole = tuples(gs.finish_averages(gs.period_sums(keyed, KEYS)).orderBy(*KEYS))
+    stats = ("sum", "count", "min", "max")
+    parts = [
+        gs.period_stats(keyed.where(F.pmod(F.hash(CI), F.lit(3)) == i), KEYS, stats=stats)
+        for i in range(3)
+    ]
+    union = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    merged = gs.finish_averages(gs.merge_partials(union, KEYS, stats=stats)).orderBy(*KEYS)
+    assert merged.columns == [*KEYS, *[f"{s}_{m}" for m in METRICS for s in ("avg", "min", "max")]]
+    narrow = merged.select(*KEYS, *[f"avg_{m}" for m in METRICS])
+    assert all(close(a, b) for a, b in zip(tuples(narrow), whole, strict=True))
+    one_pass = tuples(gs.zone_year_stats(random_readings))
+    assert all(close(a, b) for a, b in zip(tuples(merged), one_pass, strict=True))
+
+
+def test_counts_are_long(basic):
+    sums = gs.period_sums(gs.zone_year_keyed(basic), KEYS)
+    assert dict(sums.dtypes)["count_" + CI] == "bigint"
+    assert dict(gs.merge_partials(sums, KEYS).dtypes)["count_" + CI] == "bigint"
+
+
+def test_join_keeps_only_common_keys_and_matches_null(spark):
+    a = spark.createDataFrame([("x", None, 1.0), ("y", 1, 2.0), ("z", 1, 3.0)], "k string, p int, a double")
+    b = spark.createDataFrame([("x", None, 4.0), ("y", 1, 5.0), ("y", 2, 6.0)], "k string, p int, b double")
+    c = spark.createDataFrame([("y", 1, 7.0), ("x", None, 8.0)], "k string, p int, `c.c` double")
+    joined = gs.join_stats([a, b, c], ["k", "p"])
+    assert joined.columns == ["k", "p", "a", "b", "c.c"]
+    assert sorted(tuples(joined)) == [("x", None, 1.0, 4.0, 8.0), ("y", 1, 2.0, 5.0, 7.0)]
+    with pytest.raises(ValueError, match="both sides"):
+        gs.join_stats([a, a], ["k", "p"])
+
+
+def test_other_columns_and_metrics(basic):
+    renamed = basic.toDF("at", "place", "x", "y")
+    stats = gs.zone_year_stats(renamed, time="at", zone="place", metrics=["x"])
+    assert stats.columns == ["country", "year", "avg_x", "min_x", "max_x"]
+    assert tuples(stats)[0] == ("IT", 2021, 200.0, 100.0, 300.0)
+
+
+def test_result_sizes(basic):
+    sizes = gs.result_sizes({"all": basic, "none": basic.where("false")})
+    assert dict(tuples(sizes)) == {"all": 4, "none": 0}
+    assert sizes.columns == ["name", "n_rows"]
+
+
+def test_zone_filter(basic):
+    assert gs.filter_zone(basic, "SE").select(ZONE, CI, CFE).collect() == [("SE", 10.0, 90.0)]
+    assert gs.filter_zone(basic, "it's").collect() == []
