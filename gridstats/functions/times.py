@@ -16,7 +16,7 @@ _WALL_CLOCK = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
 def parse_time(text: Column, on_bad: str = "null") -> Column:
-    """Parse ``yyyy-MM-dd HH:mm:ss`` text, years 0001 to 9999.
+    """Parse ``yyyy-MM-dd HH:mm:ss`` text, years 0000 to 9999.
 
     Other text, also text that a plain cast would take such as ``2021-1-5``, gives null, or an error
     with ``on_bad="fail"``. Null stays null.
@@ -26,11 +26,7 @@ def parse_time(text: Column, on_bad: str = "null") -> Column:
     full_hour = (
         text.endswith(F.lit(":00:00")) & (F.instr(text, "-") == 5) & (F.instr(text, " ") == 11)
     )
-    well_formed = (
-        (F.octet_length(text) == 19)
-        & (text >= F.lit("0001"))
-        & (full_hour | text.rlike(_WALL_CLOCK))
-    )
+    well_formed = (F.octet_length(text) == 19) & (full_hour | text.rlike(_WALL_CLOCK))
     parsed = F.when(well_formed, text.try_cast("timestamp_ntz"))
     if on_bad != "fail":
         return parsed
