@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,15 +52,19 @@ def scratch(spark: SparkSession) -> str:
 def copied(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     """The readings written once per session as Parquet or headerless CSV, read through the source."""
     key = (spark.sparkContext.applicationId, sf_dir, fmt)
-    if key not in _copies:
-        path = scratch(spark)
-        source = readings(spark, sf_dir)
-        if fmt == "csv":
-            gs.write_csv(source, path, header=False)
-        else:
-            source.write.parquet(path)
-        _copies[key] = path
-    return gs.read_readings(spark, _copies[key], fmt)
+    if key in _copies:
+        try:
+            return gs.read_readings(spark, _copies[key], fmt)
+        except AnalysisException:  # The shared folder was cleared.
+            del _copies[key]
+    path = scratch(spark)
+    source = readings(spark, sf_dir)
+    if fmt == "csv":
+        gs.write_csv(source, path, header=False)
+    else:
+        source.write.parquet(path)
+    _copies[key] = path
+    return gs.read_readings(spark, path, fmt)
 
 
 def steady(df: DataFrame, prefix: str = "avg_", digits: int = 8) -> DataFrame:

@@ -42,18 +42,21 @@ def to_points(
     A field that is null, NaN or infinite and a tag that is null or empty are left out, and so is a row
     with no time or no field left: a time-series database takes none of these.
     """
+    start = _column(time_ms).cast("bigint")
+    # The time is tested per field. A test on the time alone depends on grouping keys only: Spark would
+    # push it below the aggregate and parse the time of every reading once more.
     finite = F.map_filter(
         _map(fields, "double"),
-        lambda _, v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))),
+        lambda _, v: v.isNotNull()
+        & ~F.isnan(v)
+        & (F.abs(v) != F.lit(float("inf")))
+        & start.isNotNull(),
     )
     present = F.map_filter(_map(tags, "string"), lambda _, v: v.isNotNull() & (v != F.lit("")))
-    start = _column(time_ms).cast("bigint")
     points = df.select(
         F.lit(measurement).alias("measurement"),
         present.alias("tags"),
-        # One condition on fields and time together. A condition on the time alone depends on grouping
-        # keys only, and Spark would push it below the aggregate and parse every reading's time twice.
-        F.when(start.isNotNull(), finite).alias("fields"),
+        finite.alias("fields"),
         start.alias("time_ms"),
     )
     return points.where(F.size("fields") > 0)

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import gridstats as gs
 from gridstats.schema import CFE, CI, TIME, ZONE
@@ -21,13 +22,19 @@ def read_columns(plan):
     return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan)]
 
 
+def exploded(points):
+    return points.select("*", F.explode("fields").alias("field", "value"))
+
+
 QUERIES = {
     "zone_year": gs.zone_year_stats,
     "zone_year_merged": gs.zone_year_stats_merged,
     "monthly": gs.monthly_averages,
     "monthly_merged": gs.monthly_averages_merged,
     "extremes": lambda df: gs.monthly_extremes(gs.monthly_averages(df), label="ranking"),
-    "points": lambda df: gs.points_to_lines(gs.zone_year_points(gs.zone_year_stats(df, sort=False))),
+    "lines": lambda df: gs.points_to_lines(gs.zone_year_points(gs.zone_year_stats(df, sort=False))),
+    "points": lambda df: exploded(gs.zone_year_points(gs.zone_year_stats(df, sort=False))),
+    "monthly_points": lambda df: exploded(gs.monthly_points(gs.monthly_averages(df, sort=False))),
 }
 
 
@@ -74,7 +81,7 @@ def test_rankings_do_not_sort_everything(stored):
     assert plan.count("ReusedExchange") == 3
 
 
-@pytest.mark.parametrize("name", ["zone_year", "monthly_merged", "points"])
+@pytest.mark.parametrize("name", ["zone_year", "monthly_merged", "lines", "points", "monthly_points"])
 def test_time_is_parsed_once_per_reading(stored, name):
     assert final_plan(QUERIES[name](stored)).count("try_cast(datetime_utc") == 1
 
