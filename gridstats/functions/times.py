@@ -24,7 +24,9 @@ def parse_time(text: Column, on_bad: str = "null") -> Column:
     # The cast is several times faster than a pattern formatter but takes more forms, so the form is
     # checked first. Readings are hourly: the cheap test settles a full hour without the regex.
     full_hour = (
-        text.endswith(F.lit(":00:00")) & (F.instr(text, "-") == 5) & (F.instr(text, " ") == 11)
+        text.endswith(F.lit(":00:00"))
+        & (F.locate("-", text, 5) == 5)
+        & (F.locate(" ", text, 11) == 11)
     )
     well_formed = (F.octet_length(text) == 19) & (full_hour | text.rlike(_WALL_CLOCK))
     parsed = F.when(well_formed, text.try_cast("timestamp_ntz"))
