@@ -1,4 +1,7 @@
-"""Compare every registered query with its SQL in DuckDB: ``python tests/compare.py <data folder>``."""
+"""Compare every registered query with its SQL in DuckDB.
+
+``python tests/compare.py <data folder> [spark.setting=value ...]``
+"""
 
 from __future__ import annotations
 
@@ -45,7 +48,7 @@ def difference(df, con, sql) -> str | None:
     return f"{len(wrong)} rows differ, first {wrong[0]}" if wrong else None
 
 
-def main(sf_dir: str) -> int:
+def main(sf_dir: str, *settings: str) -> int:
     from pyspark.sql import SparkSession
 
     import __spark_entry__ as entry
@@ -59,6 +62,8 @@ def main(sf_dir: str) -> int:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    for setting in settings:
+        spark.conf.set(*setting.split("=", 1))
     con, sql, bad = duck(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
         start = time.time()
@@ -70,4 +75,4 @@ def main(sf_dir: str) -> int:
 
 
 if __name__ == "__main__":
-    sys.exit(main(sys.argv[1]))
+    sys.exit(main(*sys.argv[1:]))
