@@ -96,8 +96,7 @@ def zone_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def period_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    periods = gs.with_period(readings(spark, sf_dir), "year_month_parts")
-    periods = gs.with_period(periods, "month")
+    periods = gs.with_period(readings(spark, sf_dir), ["year_month_parts", "month"])
     return periods.groupBy("year", "month", YEAR_MONTH).agg(F.count("*").alias("n_rows"))
 
 
@@ -184,8 +183,7 @@ def result_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def period_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = gs.with_period(readings(spark, sf_dir), "year_day_parts")
-    days = gs.with_period(days, "month")
+    days = gs.with_period(readings(spark, sf_dir), ["year_day_parts", "month"])
     days = days.groupBy("year", "day_of_year", YEAR_MONTH).agg(F.count("*").alias("n_rows"))
     for unit in ("year", "month", "day"):
         days = gs.period_start_ms(days, unit, f"{unit}_ms")

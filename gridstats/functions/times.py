@@ -42,9 +42,9 @@ def utc_wall_clock(instant: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
-def month_start(time: Column) -> Column:
-    """First day of the month, as a date."""
-    return F.trunc(time.cast("date"), "month")
+def month_start(day: Column) -> Column:
+    """First day of the month of a date."""
+    return F.trunc(day, "month")
 
 
 def month_label(day: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,45 +24,49 @@ def time_column(df: DataFrame, time: str = TIME, on_bad: str = "null") -> Column
     raise TypeError(f"column {time!r} holds {kind.simpleString()}, not a time")
 
 
+# Unit -> columns, each made from the day of the reading.
+_UNITS: dict[str, dict[str, Callable[[Column], Column]]] = {
+    "year": {YEAR: F.year},
+    "month": {YEAR_MONTH: lambda day: times.month_label(times.month_start(day))},
+    "month_start": {"month_start": times.month_start},
+    "year_month_parts": {YEAR: F.year, MONTH: F.month},
+    "year_day_parts": {YEAR: F.year, DAY_OF_YEAR: F.dayofyear},
+}
+
+
 def with_period(
     df: DataFrame,
-    unit: str,
+    unit: str | Sequence[str],
     out: str | None = None,
     time: str = TIME,
     on_bad_time: str = "null",
 ) -> DataFrame:
-    """Add the period of each reading.
+    """Add the period of each reading; several units share one parse of the time.
 
-    ``unit`` is ``year`` (int), ``month`` (``yyyy-MM`` text), ``month_start`` (date, the cheap grouping
+    A unit is ``year`` (int), ``month`` (``yyyy-MM`` text), ``month_start`` (date, the cheap grouping
     key for months), ``year_month_parts`` (ints ``year`` and ``month``) or ``year_day_parts`` (ints
-    ``year`` and ``day_of_year``). A time that cannot be read gives a null period (``null``), an error
-    (``fail``) or no row (``drop``).
+    ``year`` and ``day_of_year``). ``out`` renames the column if there is just one. A time that cannot
+    be read gives a null period (``null``), an error (``fail``) or no row (``drop``).
     """
     if on_bad_time not in ("null", "fail", "drop"):
         raise ValueError(f"unknown on_bad_time {on_bad_time!r}: null, fail or drop")
-    parsed = time_column(df, time, on_bad_time)
+    units = [unit] if isinstance(unit, str) else list(unit)
+    unknown = [u for u in units if u not in _UNITS]
+    if unknown or not units:
+        raise ValueError(f"unknown unit {unknown}: one of {sorted(_UNITS)}")
+    columns = {name: make for u in units for name, make in _UNITS[u].items()}
+    if out is not None:
+        (make,) = columns.values()
+        columns = {out: make}
+
+    day = time_column(df, time, on_bad_time).cast("date")
     if on_bad_time == "drop":
-        df = df.where(parsed.isNotNull())
-    if unit == "year":
-        return df.withColumn(out or YEAR, F.year(parsed))
-    if unit == "month":
-        return df.withColumn(out or YEAR_MONTH, times.month_label(times.month_start(parsed)))
-    if unit == "month_start":
-        return df.withColumn(out or "month_start", times.month_start(parsed))
-    if unit == "year_month_parts":
-        return _parts(df, parsed, {YEAR: F.year, MONTH: F.month})
-    if unit == "year_day_parts":
-        return _parts(df, parsed, {YEAR: F.year, DAY_OF_YEAR: F.dayofyear})
-    raise ValueError(f"unknown unit {unit!r}")
-
-
-def _parts(
-    df: DataFrame, parsed: Column, parts: dict[str, Callable[[Column], Column]]
-) -> DataFrame:
+        df = df.where(day.isNotNull())
+    if len(columns) == 1:
+        return df.withColumns({name: make(day) for name, make in columns.items()})
     # In a column of its own the time is parsed once, not once per part.
-    day = "_day"
-    staged = df.withColumn(day, parsed.cast("date"))
-    return staged.withColumns({out: part(F.col(day)) for out, part in parts.items()}).drop(day)
+    staged = df.withColumn("_day", day)
+    return staged.withColumns({n: make(F.col("_day")) for n, make in columns.items()}).drop("_day")
 
 
 def period_start_ms(

@@ -78,8 +78,14 @@ def test_units(basic):
     assert (row["year"], row["year_month"], row["month_start"]) == (2021, "2021-02", date(2021, 2, 1))
     assert (row["month"], row["day_of_year"]) == (2, 32)
     assert dict(gs.with_period(basic, "year").dtypes)["year"] == "int"
+    together = gs.with_period(basic, ["year_day_parts", "month"]).where("datetime_utc like '2021-02%'")
+    assert tuples(together)[0][4:] == (2021, 32, "2021-02")
+    assert gs.with_period(basic, "year", out="y").columns[-1] == "y"
+    for bad in ("week", [], ["year", "week"]):
+        with pytest.raises(ValueError):
+            gs.with_period(basic, bad)
     with pytest.raises(ValueError):
-        gs.with_period(basic, "week")
+        gs.with_period(basic, "year_month_parts", out="y")
     with pytest.raises(ValueError):
         gs.with_period(basic, "year", on_bad_time="skip")
 
