@@ -23,14 +23,17 @@ def monthly_averages(
     metrics: Sequence[str] = METRICS,
     on_bad_time: str = "null",
 ) -> DataFrame:
-    """Average of the metrics per month, ``yyyy-MM``; ``keep_zone`` adds the zone as second column."""
+    """Average of the metrics per month, ``yyyy-MM``; ``keep_zone`` adds ``zone_id`` as second column."""
     readings = filter_zone(df, zone, zone_column)
     # Grouped by a date, labelled afterwards: one text per month instead of one per reading.
     periods = with_period(readings, "month_start", time=time, on_bad_time=on_bad_time)
-    keys = ["month_start", zone_column] if keep_zone else ["month_start"]
-    averages = period_stats(periods, keys, metrics, ("avg",))
-    label = times.month_label(F.col("month_start")).alias(YEAR_MONTH)
-    labelled = averages.select(label, *averages.columns[1:])
+    kept = [zone_column] if keep_zone else []
+    averages = period_stats(periods, ["month_start", *kept], metrics, ("avg",))
+    labelled = averages.select(
+        times.month_label(F.col("month_start")).alias(YEAR_MONTH),
+        *[F.col(c).alias(ZONE) for c in kept],
+        *[f"avg_{m}" for m in metrics],
+    )
     return labelled.orderBy(YEAR_MONTH) if sort else labelled
 
 

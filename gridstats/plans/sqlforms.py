@@ -58,13 +58,14 @@ def monthly_averages_sql(
     metrics: Sequence[str] = METRICS,
 ) -> DataFrame:
     """Monthly averages of one zone of a view that has a ``month_start`` column."""
-    kept = f"{quote(zone_column)}, " if keep_zone else ""
+    place = quote(zone_column)
+    kept = f"{place} AS {ZONE}, " if keep_zone else ""
     text = f"""
         SELECT date_format(month_start, '{MONTH_FORMAT}') AS {YEAR_MONTH}, {kept}
                {_select_list(metrics, ("avg",))}
         FROM IDENTIFIER(:view)
-        WHERE {quote(zone_column)} = :zone
-        GROUP BY {kept}month_start
+        WHERE {place} = :zone
+        GROUP BY month_start{f", {place}" if keep_zone else ""}
     """
     text += f"ORDER BY {YEAR_MONTH}" if sort else ""
     return spark.sql(text, args={"view": view, "zone": zone})

@@ -41,6 +41,11 @@ def test_keep_zone(basic):
     assert tuples(gs.monthly_averages(basic, keep_zone=True)) == expected
     sql = gs.monthly_averages_sql(basic.sparkSession, by_month(basic))
     assert tuples(sql) == expected and sql.columns[1] == ZONE
+    renamed = basic.withColumnRenamed(ZONE, "place")
+    kept = gs.monthly_averages(renamed, zone_column="place", keep_zone=True)
+    assert tuples(kept) == expected and kept.columns[1] == ZONE
+    sql = gs.monthly_averages_sql(basic.sparkSession, by_month(renamed), zone_column="place")
+    assert tuples(sql) == expected and sql.columns[1] == ZONE
 
 
 def test_forms_agree(random_readings):

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark import TaskContext
@@ -100,6 +101,30 @@ def test_lines(spark):
     assert text("m", {}, {"n": 12.0, "x": 1.5}, integer_fields=["n"]) == "m n=12i,x=1.5 1609459200000"
 
 
+def test_escapes_as_a_plain_loop_does(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("ab é,= \\\"'\n\r\t{}[]$1", k=rng.randint(1, 12))) for _ in range(400)]
+
+    def escaped(text, specials):
+        named = {"\n": "\\n", "\r": "\\r", "\t": "\\t"}
+        return "".join(named.get(c, "\\" + c if c in specials else c) for c in text)
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    tags = F.create_map(F.lit("t"), F.col("t"), F.col("t"), F.lit("v"))
+    points = df.select(
+        F.col("t").alias("measurement"),
+        tags.alias("tags"),
+        F.create_map(F.col("t"), F.col("i").cast("double")).alias("fields"),
+        F.col("i").cast("bigint").alias("time_ms"),
+    )
+    lines = [r.line for r in gs.points_to_lines(points).collect()]
+    for i, (text, line) in enumerate(zip(texts, lines, strict=True)):
+        key = escaped(text, ",= ")
+        pairs = sorted([("t", f"t={key}"), (text, f"{key}=v")], key=lambda p: p[0].encode())
+        series = ",".join([escaped(text, ", "), *[p[1] for p in pairs]])
+        assert line == f"{series} {key}={i}.0 {i}"
+
+
 def test_run_times(spark):
     runs = spark.createDataFrame([(1700000000123, 4567)], "start_ms bigint, duration_ms bigint")
     line = gs.points_to_lines(gs.run_time_points(runs, "Q1"), integer_fields=["duration"])
