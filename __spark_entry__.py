@@ -21,13 +21,15 @@ HOME = "NATION_15"
 APP = "gridstats"
 AVG_CI, AVG_CFE = f"avg_{CI}", f"avg_{CFE}"
 
-_copies: dict[tuple[str, str, str], str] = {}
+LINES = ("l_suppkey", "l_shipdate", "l_extendedprice", "l_discount")
+
+_csv_copies: dict[tuple[str, str], str] = {}
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     # No broadcast hint: suppliers grow with the data, so Spark decides by size. Supplier first: Spark
     # takes the product of both sizes for a join, and would rather broadcast the line items than that.
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lineitem = gs.read_readings(spark, f"{sf_dir}/lineitem.parquet", columns=LINES)
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     supplied = lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
@@ -49,22 +51,18 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/gridstats-{uuid.uuid4().hex}"
 
 
-def copied(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
-    """The readings written once per session as Parquet or headerless CSV, read through the source."""
-    key = (spark.sparkContext.applicationId, sf_dir, fmt)
-    if key in _copies:
+def csv_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings written once per session as headerless CSV, read through the source."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _csv_copies:
         try:
-            return gs.read_readings(spark, _copies[key], fmt)
+            return gs.read_readings(spark, _csv_copies[key], "csv")
         except AnalysisException:  # The shared folder was cleared.
-            del _copies[key]
+            del _csv_copies[key]
     path = scratch(spark)
-    source = readings(spark, sf_dir)
-    if fmt == "csv":
-        gs.write_csv(source, path, header=False)
-    else:
-        source.write.parquet(path)
-    _copies[key] = path
-    return gs.read_readings(spark, path, fmt)
+    gs.write_csv(readings(spark, sf_dir), path, header=False)
+    _csv_copies[key] = path
+    return gs.read_readings(spark, path, "csv")
 
 
 def steady(df: DataFrame, prefix: str = "avg_", digits: int = 8) -> DataFrame:
@@ -84,11 +82,11 @@ def averages(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def scan_parquet_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return copied(spark, sf_dir, "parquet")
+    return readings(spark, sf_dir)
 
 
 def scan_csv_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return copied(spark, sf_dir, "csv")
+    return csv_readings(spark, sf_dir)
 
 
 def zone_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +108,7 @@ def zone_year_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_year_stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gs.zone_year_stats_merged(copied(spark, sf_dir, "csv")))
+    return rounded(gs.zone_year_stats_merged(csv_readings(spark, sf_dir)))
 
 
 def zone_year_stats_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +139,7 @@ def monthly_averages_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_averages_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gs.monthly_averages_merged(copied(spark, sf_dir, "csv"), HOME))
+    return rounded(gs.monthly_averages_merged(csv_readings(spark, sf_dir), HOME))
 
 
 def top(by: str, ascending: bool) -> Callable[[SparkSession, str], DataFrame]:

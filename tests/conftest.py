@@ -13,7 +13,7 @@ from gridstats.schema import READINGS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     # A task may fail twice before its job does, as on a cluster.
     session = (
         SparkSession.builder.master("local[4,3]")
@@ -27,17 +27,12 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 
 
-@pytest.fixture(autouse=True)
-def checkpoints(spark, tmp_path_factory):
-    """A checkpoint folder of the tests' own where the session names none."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.getbasetemp() / "checkpoints"))
-
-
 @pytest.fixture
 def make(spark):
     """Readings from tuples ``(time, zone, ci, cfe)``."""
