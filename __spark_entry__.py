@@ -6,16 +6,16 @@ nation of its supplier the zone, the price the carbon intensity, the discount th
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import importlib
 from collections.abc import Callable
+from types import ModuleType
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import gridstats as gs
 from gridstats.schema import AVERAGES_FOLDER, CFE, CI, METRICS, READINGS, TIME, YEAR_MONTH, ZONE
+from gridstats.shared import new_folder
 
 HOME = "NATION_15"
 APP = "gridstats"
@@ -23,7 +23,19 @@ AVG_CI, AVG_CFE = f"avg_{CI}", f"avg_{CFE}"
 
 LINES = ("l_suppkey", "l_shipdate", "l_extendedprice", "l_discount")
 
-_csv_copies: dict[tuple[str, str], str] = {}
+
+def optional(name: str) -> ModuleType | None:
+    """A module of this repository that may have been taken out."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name not in (name, name.rpartition(".")[0]):
+            raise
+        return None
+
+
+llm = optional("gridstats.llm.queries")
+pipeline = optional("corpus_pipeline")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,27 +53,10 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder name in the shared folder of the session; a temporary one only in local tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="gridstats-")
-    return f"{shared.rstrip('/')}/gridstats-{uuid.uuid4().hex}"
-
-
 def csv_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings written once per session as headerless CSV, read through the source."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _csv_copies:
-        try:
-            return gs.read_readings(spark, _csv_copies[key], "csv")
-        except AnalysisException:  # The shared folder was cleared.
-            del _csv_copies[key]
-    path = scratch(spark)
+    """The readings written as headerless CSV and read through the source."""
+    path = new_folder(spark, "readings")
     gs.write_csv(readings(spark, sf_dir), path, header=False)
-    _csv_copies[key] = path
     return gs.read_readings(spark, path, "csv")
 
 
@@ -112,7 +107,7 @@ def zone_year_stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_year_stats_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = gs.zone_year_stats_joined(readings(spark, sf_dir), fallback_dir=scratch(spark))
+    joined = gs.zone_year_stats_joined(readings(spark, sf_dir), fallback_dir=new_folder(spark))
     return rounded(joined)
 
 
@@ -162,21 +157,21 @@ def monthly_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark)
+    path = new_folder(spark)
     gs.save_monthly_report(averages(spark, sf_dir, keep_zone=True), path)
     schema = f"{YEAR_MONTH} string, {AVG_CI} double, {AVG_CFE} double"
     return rounded(spark.read.schema(schema).option("header", True).csv(f"{path}/{AVERAGES_FOLDER}"))
 
 
 def zone_year_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark)
+    path = new_folder(spark)
     stats = steady(gs.zone_year_stats(readings(spark, sf_dir)))
     gs.save_zone_year_report(stats, path)
     return rounded(spark.read.schema(stats.schema).option("header", True).csv(path))
 
 
 def result_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = gs.monthly_report(averages(spark, sf_dir), fallback_dir=scratch(spark))
+    report = gs.monthly_report(averages(spark, sf_dir), fallback_dir=new_folder(spark))
     return gs.result_sizes({"averages": report.averages, **report.rankings})
 
 
@@ -222,14 +217,14 @@ def zone_year_point_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def point_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark)
+    path = new_folder(spark)
     gs.write_point_lines(extreme_points(spark, sf_dir), path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 def point_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points sent by the tasks to a writer, here one that keeps them in files, and read back."""
-    path = scratch(spark)
+    path = new_folder(spark)
 
     def open_writer():
         import json
@@ -300,6 +295,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zone_year_point_lines": zone_year_point_lines,
         "point_line_files": point_line_files,
         "point_writer": point_writer,
+        **(llm.QUERIES if llm else {}),
+        **({"pipeline": pipeline.run} if pipeline else {}),
     }
 
 
@@ -441,4 +438,6 @@ def oracle_sql() -> dict[str, str]:
         "zone_year_point_lines": lines,
         "point_line_files": lines,
         "point_writer": _points(whole_fields, STATS, tags, year_ms, "stats"),
+        **(llm.SQL if llm else {}),
+        **({"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {}),
     }

@@ -13,13 +13,17 @@ def con():
     return duck(DATA)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+LLM = [*(entry.llm.QUERIES if entry.llm else []), *(["pipeline"] if entry.pipeline else [])]
+OWN = [name for name in entry.queries() if name not in LLM]
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     assert difference(entry.queries()[name](spark, DATA), con, entry.oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert set(OWN) == {name for name in entry.oracle_sql() if name not in LLM}
 
 
 def test_entry(spark):
