@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstats.llm import chat, decontaminate, mixing
+from gridstats.llm import chat, decontaminate, exact, mixing, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,14 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -62,6 +70,8 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op5_chat_format": op5_chat_format,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op10_simhash_dedup": op10_simhash_dedup,
     "op8_mix_sources": op8_mix_sources,
 }
 
@@ -128,7 +138,15 @@ SELECT conv_id, count(*) AS n_turns,
            AS formatted_chars
 FROM placed GROUP BY conv_id"""
 
+_EXACT = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x{20}\x{09}-\x{0D}]+', ' ', 'g') AS t FROM documents
+), class AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM doc GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+FROM doc JOIN class USING (t)"""
+
 SQL = {
+    "op7_exact_dedup": _EXACT,
     "op3_decontaminate": _DECONTAMINATE,
     "op5_chat_format": _CHAT,
 }
