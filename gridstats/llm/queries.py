@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstats.llm import chat, decontaminate, exact, mixing, simhash
+from gridstats.llm import chat, decontaminate, exact, language, mixing, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", toxicity.held_out(F.col("doc_id"), 5, 0))
+    model = toxicity.train_toxicity(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", toxicity.held_out(F.col("doc_id"), 4, 2))
+    model = language.train_languages(docs.where(~F.col("held_out")))
+    found = docs.select("doc_id", "held_out", model.predict(F.col("text")).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.contamination(docs, benchmark)
@@ -68,6 +86,8 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op5_chat_format": op5_chat_format,
     "op7_exact_dedup": op7_exact_dedup,
