@@ -44,7 +44,7 @@ def row_order(doc_id: Column, place: Column) -> Column:
 def without(df: DataFrame, place: str, dropped: DataFrame, at: str) -> DataFrame:
     """Rows of ``df`` whose place is not among ``dropped[at]``; the place column goes."""
     gone = dropped.select(F.col(at).alias("_gone_place"))
-    same = df[place].eqNullSafe(gone["_gone_place"])
+    same = df[place] == gone["_gone_place"]
     return df.join(gone, same, "left_anti").drop(place)
 
 

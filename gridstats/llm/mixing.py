@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridstats.llm.base import fresh, placed
+
 
 def word_count(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in a text; null has none."""
@@ -139,3 +141,25 @@ def mix(
         (n * F.col("m.members.size")).cast("bigint").alias("taken"),
         *[F.col(f"m.members.kept.`{c}`").alias(c) for c in carry],
     )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    copy: str = "copy",
+    **options,
+) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as it has copies, numbered from 1 in ``copy``.
+
+    All columns stay; rows without a copy go. ``options`` are those of ``mix``. Only sizes and places are
+    dealt into buckets, the texts join the result afterwards.
+    """
+    at, place = placed(docs)
+    taken = mix(at, doc_id=doc_id, text=text, source=source, carry=(place,), **options)
+    taken = taken.where("copies > 0").select(F.col(place).alias("_taken_place"), "copies")
+    name = fresh(docs, copy)
+    each = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(name)
+    joined = at.join(taken, at[place] == taken["_taken_place"])
+    return joined.select(*[at[c] for c in docs.columns], each)

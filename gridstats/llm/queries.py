@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstats.llm import chat, decontaminate, exact, language, mixing, simhash, toxicity
+from gridstats.llm import (
+    chat,
+    decontaminate,
+    exact,
+    language,
+    mixing,
+    repeats,
+    simhash,
+    tokens,
+    toxicity,
+)
+from gridstats.shared import kept
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +83,18 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lengths = tokens.length_histogram(docs, tokens.encoded_length(F.col("text")))
+    return tokens.suffix_sums(kept(lengths, "lengths"))
+
+
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeated_passages(table(spark, sf_dir, "documents"))
+    spans = F.size("spans").cast("bigint").alias("n_spans")
+    return found.select("doc_id", "n_bytes", "n_removed", spans, "kept_sha256")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -90,6 +113,8 @@ QUERIES = {
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op5_chat_format": op5_chat_format,
+    "op6_token_counts": op6_token_counts,
+    "op9_repeats": op9_repeats,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op8_mix_sources": op8_mix_sources,
