@@ -15,8 +15,13 @@ from pyspark.sql import functions as F
 from gridstats.llm.base import placed, row_order, without
 from gridstats.shared import kept, new_folder
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The state on disk; stores of few rows reserve no space ahead and save what changed.
+_STORE = "spark.sql.streaming.stateStore"
+STATE_SETTINGS = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.allowFAllocate": "false",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -48,8 +53,9 @@ def keyed_state(digests: DataFrame, path: str, work: str, batch_bytes: int) -> D
         # The same folder if the batch runs again.
         batch.write.mode("overwrite").parquet(f"{updates}/batch={number}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         query = (
             state.writeStream.outputMode("update")
@@ -59,10 +65,11 @@ def keyed_state(digests: DataFrame, path: str, work: str, batch_bytes: int) -> D
             .start()
         )
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     query.awaitTermination()
     # Of several updates of a key the last has the smallest row and the largest count.
     written = spark.read.schema(shape.schema).parquet(updates).select("key", "first", "n")
