@@ -9,6 +9,7 @@ from gridstats.llm import (
     chat,
     decontaminate,
     exact,
+    katz,
     language,
     mixing,
     repeats,
@@ -54,6 +55,20 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = toxicity.held_out(F.col("doc_id"), 7, 2)
+    scored = katz.score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select(
+        "doc_id",
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 CHAT_PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -112,6 +127,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
+    "op4_katz_scores": op4_katz_scores,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
     "op9_repeats": op9_repeats,
