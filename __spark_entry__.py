@@ -8,13 +8,24 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
+from functools import reduce
 from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import gridstats as gs
-from gridstats.schema import AVERAGES_FOLDER, CFE, CI, METRICS, READINGS, TIME, YEAR_MONTH, ZONE
+from gridstats.schema import (
+    AVERAGES_FOLDER,
+    CFE,
+    CI,
+    METRICS,
+    RANKING_FOLDERS,
+    READINGS,
+    TIME,
+    YEAR_MONTH,
+    ZONE,
+)
 from gridstats.shared import new_folder
 
 HOME = "NATION_15"
@@ -89,8 +100,11 @@ def zone_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def period_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    periods = gs.with_period(readings(spark, sf_dir), ["year_month_parts", "month"])
-    return periods.groupBy("year", "month", YEAR_MONTH).agg(F.count("*").alias("n_rows"))
+    # One group per month start; its parts and its label are made from that.
+    starts = gs.with_period(readings(spark, sf_dir), "month_start")
+    months = starts.groupBy("month_start").agg(F.count("*").alias("n_rows"))
+    months = gs.with_period(months, ["year_month_parts", "month"], time="month_start")
+    return months.select("year", "month", YEAR_MONTH, "n_rows")
 
 
 def zone_year_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +121,11 @@ def zone_year_stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_year_stats_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = gs.zone_year_stats_joined(readings(spark, sf_dir), fallback_dir=new_folder(spark))
-    return rounded(joined)
+    return rounded(gs.zone_year_stats_joined(readings(spark, sf_dir)))
+
+
+def zone_year_stats_joined_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(gs.zone_year_stats_joined(csv_readings(spark, sf_dir)))
 
 
 def zone_year_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,28 +173,60 @@ def monthly_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gs.monthly_extremes(averages(spark, sf_dir), label="ranking"))
 
 
+def monthly_rankings_sql_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL averages as a view, and the four SQL lists over it."""
+    view = gs.register(gs.with_period(readings(spark, sf_dir), "month_start"), "energy_by_month")
+    months = steady(gs.monthly_averages_sql(spark, view, HOME))
+    lists = gs.monthly_rankings_sql(spark, gs.register(months, "aggregated"))
+    named = [rows.select(F.lit(name).alias("ranking"), "*") for name, rows in lists.items()]
+    return rounded(reduce(DataFrame.unionByName, named))
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).options(header=True, escape='"').csv(path)
+
+
+def read_monthly_report(spark: SparkSession, path: str) -> DataFrame:
+    """All five folders under each other; the lists have a zone if the averages had one."""
+    averages_schema = f"{YEAR_MONTH} string, {AVG_CI} double, {AVG_CFE} double"
+    list_schema = f"{YEAR_MONTH} string, {ZONE} string, {AVG_CI} double, {AVG_CFE} double"
+    parts = [read_csv(spark, f"{path}/{AVERAGES_FOLDER}", averages_schema).withColumn(ZONE, F.lit(None).cast("string"))]
+    parts += [read_csv(spark, f"{path}/{folder}", list_schema) for folder in RANKING_FOLDERS.values()]
+    names = ["averages", *RANKING_FOLDERS]
+    named = [rows.select(F.lit(name).alias("ranking"), "*") for name, rows in zip(names, parts)]
+    return rounded(reduce(DataFrame.unionByName, named))
+
+
 def monthly_report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark)
     gs.save_monthly_report(averages(spark, sf_dir, keep_zone=True), path)
-    schema = f"{YEAR_MONTH} string, {AVG_CI} double, {AVG_CFE} double"
-    return rounded(spark.read.schema(schema).option("header", True).csv(f"{path}/{AVERAGES_FOLDER}"))
+    return read_monthly_report(spark, path)
 
 
 def zone_year_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark)
     stats = steady(gs.zone_year_stats(readings(spark, sf_dir)))
     gs.save_zone_year_report(stats, path)
-    return rounded(spark.read.schema(stats.schema).option("header", True).csv(path))
+    return rounded(read_csv(spark, path, stats.schema))
+
+
+def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone names with blanks at both ends, quotes, commas and backslashes, through a headerless file."""
+    path = new_folder(spark)
+    odd = F.concat(F.lit(' "'), F.col(ZONE), F.lit('", \\'), F.col(ZONE), F.lit("\\ "))
+    gs.write_csv(readings(spark, sf_dir).withColumn(ZONE, odd), path, header=False)
+    return gs.read_readings(spark, path, "csv").groupBy(ZONE).agg(F.count("*").alias("n_rows"))
 
 
 def result_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = gs.monthly_report(averages(spark, sf_dir), fallback_dir=new_folder(spark))
+    report = gs.monthly_report(averages(spark, sf_dir))
     return gs.result_sizes({"averages": report.averages, **report.rankings})
 
 
 def period_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = gs.with_period(readings(spark, sf_dir), ["year_day_parts", "month"])
-    days = days.groupBy("year", "day_of_year", YEAR_MONTH).agg(F.count("*").alias("n_rows"))
+    day = gs.time_column(readings(spark, sf_dir)).cast("date")
+    days = readings(spark, sf_dir).groupBy(day.alias("day")).agg(F.count("*").alias("n_rows"))
+    days = gs.with_period(days, ["year_day_parts", "month"], time="day")
     for unit in ("year", "month", "day"):
         days = gs.period_start_ms(days, unit, f"{unit}_ms")
     return days.select("year_ms", "month_ms", "day_ms", "n_rows")
@@ -205,6 +254,40 @@ def monthly_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("value", F.round("value", 6))
 
 
+def custom_metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of metrics other than the two fixed ones: every statistic is a field."""
+    renamed = readings(spark, sf_dir).withColumnsRenamed({CI: "price", CFE: "discount"})
+    stats = steady(gs.zone_year_stats(renamed, sort=False, metrics=["price", "discount"]))
+    points = gs.zone_year_points(stats, APP)
+    return points.select(
+        F.col("tags")["country"].alias("country"),
+        F.explode("fields").alias("field", "value"),
+        "time_ms",
+    ).withColumn("value", F.round("value", 6))
+
+
+def monthly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run per month: it starts with the month and takes as many milliseconds as there are readings."""
+    starts = gs.with_period(readings(spark, sf_dir), "month_start")
+    months = starts.groupBy("month_start").agg(F.count("*").alias("duration_ms"))
+    months = gs.with_period(months, "month", time="month_start")
+    return gs.period_start_ms(months, "month", "start_ms").select("start_ms", "duration_ms")
+
+
+def run_time_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = gs.run_time_points(monthly_runs(spark, sf_dir), APP)
+    return points.select(
+        "measurement",
+        F.col("tags")["app"].alias("app"),
+        F.explode("int_fields").alias("field", "value"),
+        "time_ms",
+    )
+
+
+def run_time_point_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gs.points_to_lines(gs.run_time_points(monthly_runs(spark, sf_dir), APP))
+
+
 def extreme_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minimum and maximum of each zone-year in whole numbers, which every engine prints alike."""
     stats = gs.zone_year_stats(readings(spark, sf_dir), sort=False)
@@ -222,9 +305,23 @@ def point_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-def point_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points sent by the tasks to a writer, here one that keeps them in files, and read back."""
-    path = new_folder(spark)
+# Schemes of Hadoop file systems and what the client in the tasks calls them.
+CLIENT_SCHEMES = {"s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "file": "file", "": "file"}
+
+
+def client_uri(path: str) -> str:
+    """``path`` as the file client names it; an unknown scheme is refused before any job starts."""
+    scheme, slash, rest = path.partition(":/")
+    if not slash:
+        scheme, rest = "", path.removeprefix("/")
+    if scheme not in CLIENT_SCHEMES:
+        raise ValueError(f"no client for {scheme}: paths")
+    return f"{CLIENT_SCHEMES[scheme]}:///{rest.lstrip('/')}" if scheme in ("", "file") else f"{CLIENT_SCHEMES[scheme]}:/{rest}"
+
+
+def file_writer(path: str):
+    """A writer factory that keeps points in files, as JSON."""
+    uri = client_uri(path)
 
     def open_writer():
         import json
@@ -234,7 +331,7 @@ def point_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         class FileWriter:
             def __init__(self):
-                store, folder = fs.FileSystem.from_uri(path)
+                store, folder = fs.FileSystem.from_uri(uri)
                 store.create_dir(folder)
                 # Named by the partition, so that a task that runs again replaces its file.
                 name = f"{folder}/{TaskContext.get().partitionId()}.json"
@@ -249,9 +346,18 @@ def point_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return FileWriter()
 
-    gs.write_points(extreme_points(spark, sf_dir), open_writer, batch_size=64)
-    kept = spark.read.schema(gs.schema.POINTS).json(path)
-    return kept.select(
+    return open_writer
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(gs.schema.POINTS).json(path)
+
+
+def point_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points sent by the tasks to a writer, here one that keeps them in files, and read back."""
+    path = new_folder(spark)
+    gs.write_points(extreme_points(spark, sf_dir), file_writer(path), batch_size=64)
+    return read_points(spark, path).select(
         "measurement",
         F.col("tags")["country"].alias("country"),
         F.col("tags")["app"].alias("app"),
@@ -260,6 +366,41 @@ def point_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zone_year_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One report, CSV and points: the rows of the file beside the fields of the points."""
+    path, points_path = new_folder(spark), new_folder(spark, "points")
+    stats = steady(gs.zone_year_stats(readings(spark, sf_dir)))
+    gs.save_zone_year_report(stats, path, file_writer(points_path), APP)
+    long = read_csv(spark, path, stats.schema).unpivot(
+        ["country", "year"], stats.columns[2:], "field", "value"
+    )
+    of_file = long.select(
+        F.lit("csv").alias("kind"), "country", F.col("year").cast("bigint").alias("at"), "field", "value"
+    )
+    of_points = read_points(spark, points_path).select(
+        F.lit("points").alias("kind"),
+        F.col("tags")["country"].alias("country"),
+        F.col("time_ms").alias("at"),
+        F.explode("fields").alias("field", "value"),
+    )
+    return of_file.unionByName(of_points).withColumn("value", F.round("value", 6))
+
+
+def monthly_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One report, five folders and points, under each other."""
+    path, points_path = new_folder(spark), new_folder(spark, "points")
+    gs.save_monthly_report(averages(spark, sf_dir, keep_zone=True), path, file_writer(points_path), APP)
+    month = F.date_format(F.timestamp_millis("time_ms"), "yyyy-MM")
+    of_points = read_points(spark, points_path).select(
+        F.lit("points").alias("ranking"),
+        month.alias(YEAR_MONTH),
+        F.col("tags")[ZONE].alias(ZONE),
+        F.col("fields")["avg_ci_gco2eq_per_kwh"].alias(AVG_CI),
+        F.col("fields")["avg_cfe_percentage"].alias(AVG_CFE),
+    )
+    return read_monthly_report(spark, path).unionByName(rounded(of_points))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return zone_year_stats(spark, "/root/testdata/sf0.001")
 
@@ -274,6 +415,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zone_year_stats_sql": zone_year_stats_sql,
         "zone_year_stats_merged": zone_year_stats_merged,
         "zone_year_stats_joined": zone_year_stats_joined,
+        "zone_year_stats_joined_csv": zone_year_stats_joined_csv,
         "zone_year_sums": zone_year_sums,
         "partials_merged": partials_merged,
         "monthly_averages": monthly_averages,
@@ -286,8 +428,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_ci_desc_sql": top_sql(AVG_CI, False),
         "top_cfe_asc_sql": top_sql(AVG_CFE, True),
         "monthly_extremes": monthly_extremes,
+        "monthly_rankings_sql_chain": monthly_rankings_sql_chain,
         "monthly_report_roundtrip": monthly_report_roundtrip,
         "zone_year_csv_roundtrip": zone_year_csv_roundtrip,
+        "csv_text_roundtrip": csv_text_roundtrip,
         "result_sizes": result_sizes,
         "period_starts": period_starts,
         "zone_year_points": zone_year_points,
@@ -295,6 +439,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zone_year_point_lines": zone_year_point_lines,
         "point_line_files": point_line_files,
         "point_writer": point_writer,
+        "custom_metric_points": custom_metric_points,
+        "run_time_points": run_time_points,
+        "run_time_point_lines": run_time_point_lines,
+        "zone_year_delivery": zone_year_delivery,
+        "monthly_delivery": monthly_delivery,
         **(llm.QUERIES if llm else {}),
         **({"pipeline": pipeline.run} if pipeline else {}),
     }
@@ -391,6 +540,36 @@ def oracle_sql() -> dict[str, str]:
             ],
         ]
     )
+    with_zone = f"'{HOME}' AS {ZONE}"
+    no_zone = f"CAST(NULL AS VARCHAR) AS {ZONE}"
+    report = " UNION ALL ".join(
+        [
+            f"SELECT 'averages' AS ranking, {no_zone}, {ROUNDED} FROM months",
+            *[
+                f"SELECT '{name}' AS ranking, {with_zone}, {ROUNDED} FROM ({_top(*list_)})"
+                for name, list_ in lists.items()
+            ],
+        ]
+    )
+    columns = {f"{s}_{m}": f"round({s}_{m}, 6)" for s in ("avg", "min", "max") for m in METRICS}
+    delivered = [
+        *[
+            f"SELECT 'csv' AS kind, country, CAST(year AS BIGINT) AS at, '{f}' AS field, {e} AS value FROM stats"
+            for f, e in columns.items()
+        ],
+        *[
+            f"SELECT 'points' AS kind, country, {year_ms} AS at, '{f}' AS field, {e} AS value FROM stats"
+            for f, e in stat_fields.items()
+        ],
+    ]
+    custom = [
+        f"SELECT country, '{f.replace(CI, 'price').replace(CFE, 'discount')}' AS field, {e} AS value,"
+        f" {year_ms} AS time_ms FROM stats"
+        for f, e in columns.items()
+    ]
+    runs = """runs AS (
+        SELECT epoch_ms(date_trunc('month', t)) AS start_ms, count(*) AS duration_ms
+        FROM readings GROUP BY ALL)"""
     return {
         "scan_parquet_readings": SCAN,
         "scan_csv_readings": SCAN,
@@ -403,6 +582,7 @@ def oracle_sql() -> dict[str, str]:
         "zone_year_stats_sql": ZONE_YEAR,
         "zone_year_stats_merged": ZONE_YEAR,
         "zone_year_stats_joined": ZONE_YEAR,
+        "zone_year_stats_joined_csv": ZONE_YEAR,
         "zone_year_sums": f"""WITH {R}
             SELECT {ZONE} AS country, CAST(year(t) AS INTEGER) AS year,
                    round(sum({CI}), 3) AS sum_{CI}, count({CI}) AS count_{CI},
@@ -425,7 +605,22 @@ def oracle_sql() -> dict[str, str]:
         "top_ci_desc_sql": _top_query(AVG_CI, False),
         "top_cfe_asc_sql": _top_query(AVG_CFE, True),
         "monthly_extremes": f"WITH {R}, {MONTHS} {union}",
-        "monthly_report_roundtrip": MONTHLY,
+        "monthly_rankings_sql_chain": f"""WITH {R}, {MONTHS}
+            SELECT *, '{HOME}' AS {ZONE} FROM ({union})""",
+        "monthly_report_roundtrip": f"WITH {R}, {MONTHS} {report}",
+        "monthly_delivery": f"""WITH {R}, {MONTHS} {report} UNION ALL
+            SELECT 'points' AS ranking, {with_zone}, {ROUNDED} FROM months""",
+        "zone_year_delivery": f"WITH {R}, {STATS} " + " UNION ALL ".join(delivered),
+        "custom_metric_points": f"WITH {R}, {STATS} " + " UNION ALL ".join(custom),
+        "run_time_points": f"""WITH {R}, {runs}
+            SELECT 'time' AS measurement, '{APP}' AS app, 'duration' AS field, duration_ms AS value,
+                   start_ms AS time_ms FROM runs""",
+        "run_time_point_lines": f"""WITH {R}, {runs}
+            SELECT 'time,app={APP} duration=' || CAST(duration_ms AS VARCHAR) || 'i '
+                   || CAST(start_ms AS VARCHAR) AS line FROM runs""",
+        "csv_text_roundtrip": f"""WITH {R}
+            SELECT ' "' || {ZONE} || '", \\' || {ZONE} || '\\ ' AS {ZONE}, count(*) AS n_rows
+            FROM readings GROUP BY ALL""",
         "zone_year_csv_roundtrip": ZONE_YEAR,
         "result_sizes": f"WITH {R}, {MONTHS} {sizes}",
         "period_starts": f"""WITH {R}

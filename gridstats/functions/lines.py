@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,27 +28,23 @@ def _by_key(entries: Column) -> Column:
 
 
 def line(
-    measurement: Column,
-    tags: Column,
-    fields: Column,
-    time_ms: Column,
-    integer_fields: Collection[str] = (),
+    measurement: Column, tags: Column, fields: Column, int_fields: Column, time_ms: Column
 ) -> Column:
     """One point as text, tags and fields in key order."""
     tag_texts = F.transform(
         _by_key(tags), lambda e: F.concat(escape_key(e["key"]), F.lit("="), escape_key(e["value"]))
     )
 
-    def number(entry: Column) -> Column:
-        text = entry["value"].cast("string")
-        if not integer_fields:
-            return text
-        whole = F.concat(entry["value"].cast("bigint").cast("string"), F.lit("i"))
-        return F.when(entry["key"].isin(*integer_fields), whole).otherwise(text)
+    def texts(entries: Column, ending: str) -> Column:
+        return F.transform(
+            F.map_entries(entries),
+            lambda e: F.struct(
+                e["key"].alias("key"), F.concat(e["value"].cast("string"), F.lit(ending)).alias("text")
+            ),
+        )
 
-    field_texts = F.transform(
-        _by_key(fields), lambda e: F.concat(escape_key(e["key"]), F.lit("="), number(e))
-    )
+    both = F.array_sort(F.concat(texts(fields, ""), texts(int_fields, "i")))
+    field_texts = F.transform(both, lambda e: F.concat(escape_key(e["key"]), F.lit("="), e["text"]))
     series = F.array_join(
         F.concat(F.array(escape_measurement(measurement)), F.coalesce(tag_texts, F.array())), ","
     )

@@ -65,8 +65,11 @@ def with_period(
     if len(columns) == 1:
         return df.withColumns({name: make(day) for name, make in columns.items()})
     # In a column of its own the time is parsed once, not once per part.
-    staged = df.withColumn("_day", day)
-    return staged.withColumns({n: make(F.col("_day")) for n, make in columns.items()}).drop("_day")
+    own = "_day"
+    while own in df.columns:
+        own = f"_{own}"
+    staged = df.withColumn(own, day)
+    return staged.withColumns({n: make(F.col(own)) for n, make in columns.items()}).drop(own)
 
 
 def period_start_ms(

@@ -1,4 +1,3 @@
-from gridstats.plans.lineage import cut_lineage
 from gridstats.plans.monthly import monthly_averages, monthly_averages_merged
 from gridstats.plans.reports import (
     MonthlyReport,
@@ -21,7 +20,6 @@ from gridstats.plans.zone_year import (
 
 __all__ = [
     "MonthlyReport",
-    "cut_lineage",
     "monthly_averages",
     "monthly_averages_merged",
     "monthly_averages_sql",

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from gridstats.operators.points import monthly_points, zone_year_points
 from gridstats.operators.ranking import monthly_rankings
-from gridstats.plans.lineage import cut_lineage
 from gridstats.schema import AVERAGES_FOLDER, COUNTRY, RANKING_FOLDERS, TOP_K, YEAR
+from gridstats.shared import kept, new_folder, remove_folder
 from gridstats.sinks.csv import require_absent, write_csv, write_monthly_report
 from gridstats.sinks.points import PointWriter, write_points
 
@@ -21,12 +22,13 @@ class MonthlyReport:
     rankings: dict[str, DataFrame]
 
 
-def monthly_report(
-    averages: DataFrame, k: int = TOP_K, fallback_dir: str | None = None
-) -> MonthlyReport:
-    """Averages computed once, and the four rankings over them."""
-    kept = cut_lineage(averages, fallback_dir)
-    return MonthlyReport(kept, monthly_rankings(kept, k))
+def monthly_report(averages: DataFrame, k: int = TOP_K, path: str | None = None) -> MonthlyReport:
+    """Averages computed once, when this is called, and the four rankings over them.
+
+    The averages are kept at ``path``, or in a new place in the shared folder.
+    """
+    once = kept(averages, "averages", path)
+    return MonthlyReport(once, monthly_rankings(once, k))
 
 
 def save_zone_year_report(
@@ -35,13 +37,18 @@ def save_zone_year_report(
     writer_factory: Callable[[], PointWriter] | None = None,
     app: str | None = None,
     header: bool = True,
+    fields: Mapping[str, str] | None = None,
 ) -> None:
-    """Write zone-year statistics sorted to ``path`` and, given a writer, as points."""
+    """Write zone-year statistics sorted to ``path`` and, given a writer, as points.
+
+    ``fields`` as for ``zone_year_points``. What is kept in the shared folder meanwhile is removed.
+    """
     require_absent(stats.sparkSession, path)
-    kept = cut_lineage(stats, f"{path.rstrip('/')}.checkpoint")
-    write_csv(kept.orderBy(COUNTRY, YEAR), path, header)
-    if writer_factory is not None:
-        write_points(zone_year_points(kept, app), writer_factory)
+    with _once(stats, "stats") as once:
+        points = None if writer_factory is None else zone_year_points(once, app, fields)
+        write_csv(once.orderBy(COUNTRY, YEAR), path, header)
+        if points is not None:
+            write_points(points, writer_factory)
 
 
 def save_monthly_report(
@@ -51,11 +58,26 @@ def save_monthly_report(
     app: str | None = None,
     k: int = TOP_K,
     header: bool = True,
+    fields: Mapping[str, str] | None = None,
 ) -> None:
-    """Write monthly averages and the four rankings under ``path`` and, given a writer, as points."""
+    """Write monthly averages and the four rankings under ``path`` and, given a writer, as points.
+
+    ``fields`` as for ``monthly_points``. What is kept in the shared folder meanwhile is removed.
+    """
     folders = [AVERAGES_FOLDER, *RANKING_FOLDERS.values()]
     require_absent(averages.sparkSession, *[f"{path}/{folder}" for folder in folders])
-    report = monthly_report(averages, k, f"{path.rstrip('/')}.checkpoint")
-    if writer_factory is not None:
-        write_points(monthly_points(report.averages, app), writer_factory)
-    write_monthly_report(report.averages, report.rankings, path, header)
+    with _once(averages, "averages") as once:
+        if writer_factory is not None:
+            write_points(monthly_points(once, app, fields), writer_factory)
+        write_monthly_report(once, monthly_rankings(once, k), path, header)
+
+
+@contextmanager
+def _once(result: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A small result computed once; no job of a report reads the input again, and all see the same sums."""
+    spark = result.sparkSession
+    path = new_folder(spark, name)
+    try:
+        yield kept(result, path=path)
+    finally:
+        remove_folder(spark, path)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from gridstats.operators.periods import with_period
 from gridstats.operators.stats import finish_averages, join_stats, period_stats
-from gridstats.plans.lineage import cut_lineage
 from gridstats.schema import COUNTRY, METRICS, TIME, YEAR, ZONE
+from gridstats.shared import kept
 
 KEYS = (COUNTRY, YEAR)
 
@@ -63,16 +63,15 @@ def zone_year_stats_joined(
     zone: str = ZONE,
     metrics: Sequence[str] = METRICS,
     on_bad_time: str = "null",
-    fallback_dir: str | None = None,
 ) -> DataFrame:
     """The same as averages, minima and maxima that are made apart and joined on zone and year.
 
-    The input is scanned once, for partials; three separate aggregates over the readings would scan it
-    three times, since each needs other columns.
+    The input is scanned once, when this is called, for partials that are kept in the shared folder; three
+    separate aggregates over the readings would scan it three times, since each needs other columns.
     """
     keyed = zone_year_keyed(df, time, zone, metrics, on_bad_time)
     partials = period_stats(keyed, KEYS, metrics, ("sum", "count", "min", "max"))
-    partials = cut_lineage(partials, fallback_dir)
+    partials = kept(partials, "partials")
 
     def part(*stats: str) -> DataFrame:
         return partials.select(*KEYS, *[f"{s}_{m}" for m in metrics for s in stats])

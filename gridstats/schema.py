@@ -67,6 +67,7 @@ POINTS = T.StructType(
         T.StructField("measurement", T.StringType()),
         T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
         T.StructField("fields", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("int_fields", T.MapType(T.StringType(), T.LongType())),
         T.StructField("time_ms", T.LongType()),
     ]
 )

@@ -13,8 +13,14 @@ from gridstats.schema import AVERAGES_FOLDER, RANKING_FOLDERS, YEAR_MONTH, ZONE
 def write_csv(
     df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists"
 ) -> None:
-    """Write ``df`` as a CSV folder; sorted rows stay sorted over the part files in name order."""
-    df.write.mode(mode).option("header", header).csv(path)
+    """Write ``df`` as a CSV folder; sorted rows stay sorted over the part files in name order.
+
+    Text is kept as it is, blanks at its ends included. An empty text is read back as null, and a text
+    with a line break in it makes the reader fail.
+    """
+    # A quote within quotes is doubled, and nothing else is an escape.
+    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+    df.write.mode(mode).options(header=header, **plain).csv(path)
 
 
 def require_absent(spark: SparkSession, *paths: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 from typing import Protocol
 
@@ -13,7 +13,10 @@ from gridstats.operators.points import points_to_lines
 
 class PointWriter(Protocol):
     def write(self, points: list[Row]) -> None:
-        """Send rows ``(measurement, tags, fields, time_ms)``; return when they are stored."""
+        """Send rows ``(measurement, tags, fields, int_fields, time_ms)``; return when they are stored.
+
+        ``fields`` holds floats, ``int_fields`` ints.
+        """
 
     def close(self) -> None: ...
 
@@ -45,11 +48,6 @@ def write_points(
     points.foreachPartition(send)
 
 
-def write_point_lines(
-    points: DataFrame,
-    path: str,
-    mode: str = "errorifexists",
-    integer_fields: Collection[str] = (),
-) -> None:
+def write_point_lines(points: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write line protocol text files, made by expressions alone."""
-    points_to_lines(points, integer_fields).write.mode(mode).text(path)
+    points_to_lines(points).write.mode(mode).text(path)

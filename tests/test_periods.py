@@ -176,3 +176,10 @@ def test_period_starts(spark):
     ]
     with pytest.raises(ValueError):
         gs.period_start_ms(starts, "week")
+
+
+def test_a_column_of_the_caller_stays(basic):
+    own = basic.withColumn("_day", F.lit("mine"))
+    parts = gs.with_period(own, ["year_month_parts", "month"])
+    assert parts.columns == [*own.columns, "year", "month", "year_month"]
+    assert {r._day for r in parts.collect()} == {"mine"}

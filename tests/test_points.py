@@ -6,7 +6,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 import gridstats as gs
-from gridstats.schema import AVG_CFE, AVG_CI, FIELD_NAMES, POINTS, YEAR_MONTH
+from gridstats.schema import AVG_CFE, AVG_CI, CFE, CI, FIELD_NAMES, POINTS, YEAR_MONTH
 
 from conftest import tuples
 
@@ -41,8 +41,8 @@ def test_default_app_is_the_session_name(basic):
 def test_monthly_points(basic):
     points = gs.monthly_points(gs.monthly_averages(basic), "a").orderBy("time_ms").collect()
     assert [tuple(p) for p in points] == [
-        ("result", {"app": "a"}, {"avg_ci_gco2eq_per_kwh": 150.0, "avg_cfe_percentage": 50.0}, 1609459200000),
-        ("result", {"app": "a"}, {"avg_ci_gco2eq_per_kwh": 300.0, "avg_cfe_percentage": 20.0}, 1612137600000),
+        ("result", {"app": "a"}, {"avg_ci_gco2eq_per_kwh": 150.0, "avg_cfe_percentage": 50.0}, {}, 1609459200000),
+        ("result", {"app": "a"}, {"avg_ci_gco2eq_per_kwh": 300.0, "avg_cfe_percentage": 20.0}, {}, 1612137600000),
     ]
     tagged = gs.monthly_points(gs.monthly_averages(basic, keep_zone=True), "a").first()
     assert tagged.tags == {"app": "a", "zone_id": "IT"}
@@ -66,6 +66,30 @@ def test_what_a_database_cannot_take_is_left_out(make):
     assert set(got[None]) == {f"{s}_ci_gco2eq_per_kwh" for s in ("avg", "min", "max")}
 
 
+def test_every_statistic_is_a_field(spark, basic):
+    other = basic.withColumnsRenamed({CI: "x", CFE: "y"})
+    stats = gs.zone_year_stats(other, metrics=["x", "y"])
+    points = gs.zone_year_points(stats, "a")
+    assert points.count() == 2
+    assert set(points.first().fields) == {f"{s}_{m}" for s in ("avg", "min", "max") for m in ("x", "y")}
+    both = gs.zone_year_stats(basic.withColumn("x", F.col(CI)), metrics=[CI, "x"])
+    assert set(gs.zone_year_points(both, "a").first().fields) == {
+        *[f"{s}_ci_gco2eq_per_kwh" for s in ("avg", "min", "max")],
+        *[f"{s}_x" for s in ("avg", "min", "max")],
+    }
+    named = gs.zone_year_points(stats, "a", fields={"mean": "avg_x"})
+    assert named.first().fields == {"mean": 200.0}
+    months = gs.monthly_averages(other, metrics=["x"])
+    assert gs.monthly_points(months, "a").first().fields == {"avg_x": 150.0}
+    counts = gs.zone_year_points(gs.period_sums(gs.zone_year_keyed(basic), ["country", "year"]), "a")
+    assert set(counts.first().int_fields) == {f"count_{CI}", f"count_{CFE}"}
+
+
+def test_no_statistics_is_an_error(basic):
+    with pytest.raises(ValueError, match="no statistics"):
+        gs.zone_year_points(gs.zone_year_stats(basic).select("country", "year"), "a")
+
+
 def test_month_that_is_no_month_gives_no_point(spark):
     rows = [("2021-03", 1.0, 1.0), ("2021-13", 1.0, 1.0), (None, 1.0, 1.0)]
     df = spark.createDataFrame(rows, f"{YEAR_MONTH} string, {AVG_CI} double, {AVG_CFE} double")
@@ -80,11 +104,11 @@ def test_no_tags(spark):
 def test_lines(spark):
     one = spark.range(1)
 
-    def text(measurement, tags, fields, **options):
+    def text(measurement, tags, fields):
         tags = {k: F.lit(v) for k, v in tags.items()}
         fields = {k: F.lit(v) for k, v in fields.items()}
         points = gs.to_points(one, measurement, fields, tags, F.lit(1609459200000))
-        return gs.points_to_lines(points, **options).first().line
+        return gs.points_to_lines(points).first().line
 
     assert text("result", {"country": "X,Y", "app": "a b"}, {"avg_ci_gco2eq_per_kwh": 1.5}) == (
         "result,app=a\\ b,country=X\\,Y avg_ci_gco2eq_per_kwh=1.5 1609459200000"
@@ -98,7 +122,10 @@ def test_lines(spark):
     assert text("m", {"b": "2", "a": "1"}, {"z": 1e7, "y": 1e-4}) == (
         "m,a=1,b=2 y=1.0E-4,z=1.0E7 1609459200000"
     )
-    assert text("m", {}, {"n": 12.0, "x": 1.5}, integer_fields=["n"]) == "m n=12i,x=1.5 1609459200000"
+    assert text("m", {}, {"n": 12, "x": 1.5}) == "m n=12i,x=1.5 1609459200000"
+    # Beyond what a double holds exactly.
+    assert text("m", {}, {"n": 9007199254740993}) == "m n=9007199254740993i 1609459200000"
+    assert text("m", {}, {"n": 1.7}) == "m n=1.7 1609459200000"
 
 
 def test_escapes_as_a_plain_loop_does(spark):
@@ -115,6 +142,7 @@ def test_escapes_as_a_plain_loop_does(spark):
         F.col("t").alias("measurement"),
         tags.alias("tags"),
         F.create_map(F.col("t"), F.col("i").cast("double")).alias("fields"),
+        F.create_map().cast("map<string,bigint>").alias("int_fields"),
         F.col("i").cast("bigint").alias("time_ms"),
     )
     lines = [r.line for r in gs.points_to_lines(points).collect()]
@@ -127,7 +155,9 @@ def test_escapes_as_a_plain_loop_does(spark):
 
 def test_run_times(spark):
     runs = spark.createDataFrame([(1700000000123, 4567)], "start_ms bigint, duration_ms bigint")
-    line = gs.points_to_lines(gs.run_time_points(runs, "Q1"), integer_fields=["duration"])
+    points = gs.run_time_points(runs, "Q1")
+    assert (points.first().fields, points.first().int_fields) == ({}, {"duration": 4567})
+    line = gs.points_to_lines(points)
     assert tuples(line) == [("time,app=Q1 duration=4567i 1700000000123",)]
 
 

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import difference, duck
+from conftest import final_plan
 
 DATA = "/root/testdata/sf0.001"
 
@@ -28,3 +29,16 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 70
+
+
+def test_csv_copies_are_made_anew(spark):
+    first = entry.scan_csv_readings(spark, DATA).inputFiles()
+    assert first and not set(first) & set(entry.scan_csv_readings(spark, DATA).inputFiles())
+    assert entry.csv_readings(spark, "/root/testdata/sf0.01").count() > len(first)
+
+
+@pytest.mark.parametrize("name", ["period_columns", "period_starts"])
+def test_no_label_per_reading(spark, name):
+    plan = final_plan(entry.queries()[name](spark, DATA))
+    # Below the partial aggregate, which is printed after the exchange, nothing is formatted.
+    assert "date_format" in plan and "date_format" not in plan[plan.rindex("partial_count") :]

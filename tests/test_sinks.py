@@ -1,11 +1,14 @@
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 
+import __spark_entry__ as entry
 import gridstats as gs
 from gridstats.schema import AVG_CFE, AVG_CI, YEAR_MONTH
+from gridstats.shared import kept, new_folder, shared_folder
 
 from conftest import tuples
 
@@ -110,7 +113,40 @@ def test_reports_send_points(spark, basic, tmp_path):
     ]
 
 
-def test_cut_lineage_keeps_rows(spark, basic):
-    kept = gs.cut_lineage(gs.zone_year_stats(basic))
-    assert tuples(kept) == tuples(gs.zone_year_stats(basic))
-    assert "Scan ExistingRDD" in kept._jdf.queryExecution().executedPlan().toString()
+def test_text_survives_a_csv_file(spark, make, tmp_path):
+    zones = [" pad ", 'say "x"', "a,b", "back\\slash", "ends\\", "\\", "'", "\t tab", "", None]
+    rows = make(*[("2021-01-01 00:00:00", z, float(i), 1.0) for i, z in enumerate(zones)])
+    gs.write_csv(rows, str(tmp_path / "c"), header=False)
+    read = {int(r[2]): r[1] for r in gs.read_readings(spark, str(tmp_path / "c"), "csv").collect()}
+    # An empty text comes back as null, as the docstring says.
+    assert [read[i] for i in range(len(zones))] == [z or None for z in zones]
+
+
+def test_reports_leave_nothing_beside_their_output(spark, basic, tmp_path):
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.iterdir()) if shared.exists() else set()
+    gs.save_zone_year_report(gs.zone_year_stats(basic), str(tmp_path / "q1"))
+    gs.save_monthly_report(gs.monthly_averages(basic), str(tmp_path / "q2"))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["q1", "q2"]
+    assert (set(shared.iterdir()) if shared.exists() else set()) == before
+
+
+def test_shared_folder_is_that_of_the_context_first(spark, tmp_path):
+    folder = spark.sparkContext.getCheckpointDir()
+    assert shared_folder(spark, "elsewhere") == folder
+    assert new_folder(spark, "x").startswith(f"{folder}/gridstats-x-")
+
+
+def test_kept_table_is_read_from_its_folder(spark, basic):
+    once = kept(gs.zone_year_stats(basic))
+    assert sorted(tuples(once)) == sorted(tuples(gs.zone_year_stats(basic)))
+    assert all(f.startswith("file:") for f in once.inputFiles())
+
+
+def test_client_uris():
+    assert entry.client_uri("/tmp/x") == "file:///tmp/x"
+    assert entry.client_uri("file:/tmp/x") == entry.client_uri("file:///tmp/x") == "file:///tmp/x"
+    assert entry.client_uri("s3a://bucket/key") == entry.client_uri("s3n://bucket/key") == "s3://bucket/key"
+    assert entry.client_uri("hdfs://name:8020/a") == "hdfs://name:8020/a"
+    with pytest.raises(ValueError, match="dbfs"):
+        entry.client_uri("dbfs:/a")

@@ -81,3 +81,19 @@ def test_both_formats_give_the_same_results(spark, random_readings, tmp_path):
 def test_register(spark, basic):
     assert gs.register(basic, "some_readings") == "some_readings"
     assert spark.table("some_readings").count() == 4
+
+
+def test_strict_parses_all_of_every_row(spark, tmp_path):
+    (tmp_path / "r.csv").write_text(
+        "2021-01-01 00:00:00,IT,1.0,2.0\n2021-01-01 00:00:00,SE,1.0,bad\n"
+    )
+    loose = gs.read_readings(spark, str(tmp_path), "csv")
+    assert gs.monthly_averages(loose, "IT", metrics=["carbon_intensity_gco2eq_per_kwh_direct"]).count() == 1
+    strict = gs.read_readings(spark, str(tmp_path), "csv", strict=True)
+    for work in (
+        lambda: strict.count(),
+        lambda: gs.monthly_averages(strict, "IT").collect(),
+        lambda: gs.monthly_averages(strict, "IT", metrics=["carbon_intensity_gco2eq_per_kwh_direct"]).collect(),
+    ):
+        with pytest.raises(Exception, match="MALFORMED"):
+            work()
