@@ -88,18 +88,20 @@ def format_conversations(
         F.sort_array(F.collect_list(one)).alias("said")
     )
     count = F.size("said")
-    roles = F.col("said.role")
+
+    def role_at(i: Column) -> Column:
+        return F.get(F.col("said"), i)["role"]
+
     first = F.filter(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: (i == 0) | (F.get(roles, i) != F.get(roles, i - 1)),
+        F.sequence(F.lit(0), count - 1), lambda i: (i == 0) | (role_at(i) != role_at(i - 1))
     )
     starts = said.select(conversation, "said", first.alias("starts"))
 
     def block(at: Column, n: Column) -> Column:
         until = F.coalesce(F.get(F.col("starts"), n + 1), count)
         return F.struct(
-            F.get(roles, at).alias("role"),
-            F.slice(F.col("said.text"), at + 1, until - at).alias("texts"),
+            role_at(at).alias("role"),
+            F.transform(F.slice("said", at + 1, until - at), lambda t: t["text"]).alias("texts"),
         )
 
     blocks = starts.select(conversation, F.transform("starts", block).alias("blocks"))

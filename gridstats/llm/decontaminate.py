@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridstats.llm.base import fresh
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _PIECE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -81,7 +83,8 @@ def _scanned(
         F.array().cast(known.schema["items"].dataType).alias("items"),
     )
     known = known.unionByName(marks)
-    if sum(sizes.values()) <= broadcast_rows:
+    small = sum(sizes.values()) <= broadcast_rows
+    if small:
         known = F.broadcast(known)
 
     read = docs.select(
@@ -96,17 +99,23 @@ def _scanned(
     )
     all_windows = F.concat(F.array(mark), *[_windows(F.col("words"), n) for n in sorted(sizes)])
     windows = read.select("doc", "digest", "words", F.explode(all_windows).alias("w"))
+    window = F.slice("words", F.greatest(F.col("w.at"), F.lit(0)) + 1, F.col("w.size"))
+    # Beside a broadcast set no row moves, and the words are looked at where the hash is found. Rows that
+    # are shuffled carry their window, not the words of the document.
     windows = windows.select(
-        "doc", "digest", "words", F.col("w.at").alias("at"), F.col("w.size").alias("size"), "w.h"
+        "doc", "digest", F.size("words").alias("n_words"), "w.at", "w.size", "w.h",
+        F.col("words").alias("content") if small else window.alias("content"),
     )
-    same = F.slice(F.col("words"), F.greatest(F.col("at"), F.lit(0)) + 1, F.col("size"))
-    hits = windows.join(known, ["size", "h"]).where((F.col("at") < 0) | (same == F.col("window")))
+    content = F.col("content")
+    if small:
+        content = F.slice(content, F.greatest(F.col("at"), F.lit(0)) + 1, F.col("size"))
+    hits = windows.join(known, ["size", "h"]).where((F.col("at") < 0) | (content == F.col("window")))
     hits = hits.select(
         "doc",
         "digest",
         "at",
         "size",
-        F.when(F.col("at") < 0, F.size("words")).alias("n_words"),
+        F.when(F.col("at") < 0, F.col("n_words")).alias("n_words"),
         F.when(F.col("at") >= 0, F.col("items")).alias("items"),
     )
     span = F.when(F.col("at") >= 0, F.struct("at", "size"))
@@ -182,7 +191,11 @@ def decontaminate(
     if mode == "documents":
         return docs.join(bad, same, "left_anti")
     joined = docs.join(bad, same, "left")
-    pieces = F.regexp_extract_all(F.col(text), F.lit(f"({_PIECE})"), 1)
+    # A column of its own, so that it is made once per text and not once per piece.
+    name = fresh(docs, "_pieces")
+    hit_text = F.when(F.col("_bad_spans").isNotNull(), F.col(text))
+    joined = joined.withColumn(name, F.regexp_extract_all(hit_text, F.lit(f"({_PIECE})"), F.lit(1)))
+    pieces = F.col(name)
     tail = F.regexp_extract(F.col(text), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*$", 0)
     spans = F.col("_bad_spans")
     hit = F.array_distinct(
