@@ -151,7 +151,7 @@ def near_links(
     points: DataFrame,
     radius: int = 4,
     leaf_rows: int = 65536,
-    block_rows: int = 4096,
+    block_rows: int = 32768,
     visitor_rows: int = 32768,
     sample_rows: int = 16384,
 ) -> DataFrame:
