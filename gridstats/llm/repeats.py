@@ -167,8 +167,13 @@ def _string_hashes(text: str, places: np.ndarray, size: int, rolls: list[Rolling
     return [r.of(r.prefixes(data), places, places + size) for r in rolls]
 
 
+def _shard(text_id: bytes, shards: int) -> int:
+    return int.from_bytes(text_id[:8], "little") % shards
+
+
 def _equal_strings(open_texts: DataFrame, size: int, buckets: int) -> DataFrame:
-    """Of the open places of each text those whose string occurs elsewhere: ``text_id, bucket, bits``.
+    """Of the open places of each text those whose string occurs elsewhere: ``shard, bucket, ids, counts,
+    bits``, a row for each bucket and shard of texts.
 
     Hashes travel in buckets, 12 bytes each and nothing else: what a text has in a bucket is in the order
     of its places, and the answer is a bit for each.
@@ -223,15 +228,22 @@ def _equal_strings(open_texts: DataFrame, size: int, buckets: int) -> DataFrame:
         ends = np.cumsum(np.concatenate([_numbers(c) for c in parts["counts"]]))
         starts = np.r_[0, ends[:-1]]
         some = np.add.reduceat(twice.astype(np.int64), starts) > 0
-        rows = [
-            (ids[i], parts["bucket"][0], np.packbits(twice[starts[i] : ends[i]]).tobytes())
-            for i in np.flatnonzero(some)
-        ]
-        return pd.DataFrame(rows, columns=["text_id", "bucket", "bits"])
+        found = np.flatnonzero(some)
+        shard = np.array([_shard(ids[i], buckets) for i in found], np.int64)
+        by = found[np.argsort(shard, kind="stable")]
+        shard = np.sort(shard)
+        rows = []
+        for s, e in zip(*_cuts(shard)):
+            own = by[s:e]
+            bits = b"".join(np.packbits(twice[starts[i] : ends[i]]).tobytes() for i in own)
+            names = b"".join(ids[i] for i in own)
+            rows.append((int(shard[s]), parts["bucket"][0], names, _small((ends - starts)[own]), bits))
+        return pd.DataFrame(rows, columns=["to_shard", "bucket", "ids", "counts", "bits"])
 
     shape = "bucket long, ids binary, counts binary, first binary, second binary"
     parts = open_texts.mapInPandas(deal, shape)
-    return parts.groupBy("bucket").applyInPandas(equal, "text_id binary, bucket long, bits binary")
+    answer = "to_shard long, bucket long, ids binary, counts binary, bits binary"
+    return parts.groupBy("bucket").applyInPandas(equal, answer)
 
 
 def spans_of(starts: np.ndarray, size: int) -> np.ndarray:
@@ -294,47 +306,50 @@ def repeated_passages(
                     repeated[_numbers(part)] = True
                 places = open_places(len(data), triggers, repeated, size)
                 if len(places):
-                    found.append((text_id, text_, places.astype("<i8").tobytes()))
-            yield pd.DataFrame(found, columns=["text_id", "text", "places"])
+                    shard = _shard(bytes(text_id), parts)
+                    found.append((shard, text_id, text_, places.astype("<i8").tobytes()))
+            yield pd.DataFrame(found, columns=["shard", "text_id", "text", "places"])
 
-    shape = "text_id binary, text string, places binary"
-    open_texts = kept(parsed.select("text_id", "text", "phrases").mapInPandas(leave, shape), "open")
-    answers = _equal_strings(open_texts, size, 4 * buckets).groupBy("text_id").agg(
-        F.collect_list(F.struct("bucket", "bits")).alias("answers")
-    )
-    answered = open_texts.join(
-        answers.withColumnRenamed("text_id", "of"), F.col("text_id") == F.col("of")
-    ).select("text_id", "text", "places", "answers")
     parts = 4 * buckets
+    shape = "shard long, text_id binary, text string, places binary"
+    open_texts = kept(parsed.select("text_id", "text", "phrases").mapInPandas(leave, shape), "open")
+    answers = _equal_strings(open_texts, size, parts)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(texts_: pd.DataFrame, answers_: pd.DataFrame) -> pd.DataFrame:
         import hashlib
 
-        roll = Rolling(1)
-        for batch in batches:
-            made = []
-            for text_id, text_, places, bits in zip(*(batch[c] for c in batch.columns)):
-                places = np.frombuffer(places, "<i8")
-                bucket = (_string_hashes(text_, places, size, [roll])[0] % _U(parts)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                starts, ends = _cuts(bucket[order])
-                at = {int(bucket[order[s]]): order[s:e] for s, e in zip(starts, ends)}
-                twice = np.zeros(len(places), bool)
-                for answer in bits:
-                    mine = at[answer["bucket"]]
-                    flags = np.unpackbits(np.frombuffer(answer["bits"], np.uint8), count=len(mine))
-                    twice[mine] = flags.astype(bool)
-                spans = spans_of(places[twice], size)
-                data, keep, end = text_.encode(), hashlib.sha256(), 0
-                for s, e in spans.tolist():
-                    keep.update(data[end:s])
-                    end = e
-                keep.update(data[end:])
-                shown = [{"start": s, "end": e} for s, e in spans.tolist()]
-                made.append((text_id, shown, keep.hexdigest()))
-            yield pd.DataFrame(made, columns=["of", "found", "left"])
-
-    removed = answered.mapInPandas(cut, "of binary, found array<struct<start:long,end:long>>, left string")
+        said: dict[bytes, list[tuple[int, np.ndarray]]] = {}
+        for a in answers_.itertuples(index=False):
+            at = 0
+            for k, n in enumerate(_numbers(a.counts).tolist()):
+                part = np.frombuffer(a.bits, np.uint8, count=-(-n // 8), offset=at)
+                at += len(part)
+                said.setdefault(a.ids[16 * k : 16 * k + 16], []).append((a.bucket, np.unpackbits(part, count=n)))
+        roll, made = Rolling(1), []
+        for text_id, text_, places in zip(texts_["text_id"], texts_["text"], texts_["places"]):
+            own = said.get(bytes(text_id))
+            if own is None:
+                continue
+            places = np.frombuffer(places, "<i8")
+            bucket = (_string_hashes(text_, places, size, [roll])[0] % _U(parts)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            starts, ends = _cuts(bucket[order])
+            at = {int(bucket[order[s]]): order[s:e] for s, e in zip(starts, ends)}
+            twice = np.zeros(len(places), bool)
+            for number, flags in own:
+                twice[at[number]] = flags.astype(bool)
+            spans = spans_of(places[twice], size)
+            data, keep, end = text_.encode(), hashlib.sha256(), 0
+            for s, e in spans.tolist():
+                keep.update(data[end:s])
+                end = e
+            keep.update(data[end:])
+            shown = [{"start": s, "end": e} for s, e in spans.tolist()]
+            made.append((text_id, shown, keep.hexdigest()))
+        return pd.DataFrame(made, columns=["of", "found", "left"])
+
+    both = open_texts.groupBy("shard").cogroup(answers.groupBy("to_shard"))
+    removed = both.applyInPandas(cut, "of binary, found array<struct<start:long,end:long>>, left string")
     copies = rows.groupBy("text_id").agg(F.count("*").alias("copies")).where("copies > 1")
     copies = copies.select(F.col("text_id").alias("copied"))
     joined = rows.join(removed, F.col("text_id") == F.col("of"), "left")
@@ -357,15 +372,14 @@ def repeated_passages(
 def cut_spans(text: Column, spans: Column) -> Column:
     """The bytes of a text outside its spans; a span may end within a character, hence binary."""
     whole = F.coalesce(text, F.lit("")).cast("binary")
-    edges = F.concat(
-        F.array(F.lit(0).cast("bigint")),
-        F.flatten(F.transform(spans, lambda s: F.array(s["start"], s["end"]))),
-        F.array(F.octet_length(whole).cast("bigint")),
-    )
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.size(edges) - 1, F.lit(2)),
-        lambda i: F.hex(
-            F.substring(whole, F.get(edges, i).cast("int") + 1, (F.get(edges, i + 1) - F.get(edges, i)).cast("int"))
-        ),
+    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(spans, lambda s: s["end"]))
+    ends = F.concat(
+        F.transform(spans, lambda s: s["start"]), F.array(F.octet_length(whole).cast("bigint"))
     )
-    return F.unhex(F.array_join(pieces, ""))
+    between = F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("start"), e.alias("end")))
+
+    def piece(b: Column) -> Column:
+        length = (b["end"] - b["start"]).cast("int")
+        return F.hex(F.substring(whole, (b["start"] + 1).cast("int"), length))
+
+    return F.unhex(F.array_join(F.transform(between, piece), ""))
