@@ -57,7 +57,7 @@ def keyed_state(digests: DataFrame, path: str, work: str, batch_bytes: int) -> D
     for name, value in STATE_SETTINGS.items():
         spark.conf.set(name, value)
     try:
-        query = (
+        running = (
             state.writeStream.outputMode("update")
             .option("checkpointLocation", f"{work}/checkpoint")
             .trigger(availableNow=True)
@@ -70,7 +70,7 @@ def keyed_state(digests: DataFrame, path: str, work: str, batch_bytes: int) -> D
                 spark.conf.unset(name)
             else:
                 spark.conf.set(name, value)
-    query.awaitTermination()
+    running.awaitTermination()
     # Of several updates of a key the last has the smallest row and the largest count.
     written = spark.read.schema(shape.schema).parquet(updates).select("key", "first", "n")
     return written.groupBy("key").agg(F.min("first").alias("first"), F.max("n").alias("n"))
