@@ -155,18 +155,18 @@ def monthly_averages_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top(by: str, ascending: bool) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def one(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rounded(gs.top_k(averages(spark, sf_dir), by, ascending=ascending))
 
-    return query
+    return one
 
 
 def top_sql(by: str, ascending: bool) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def one(spark: SparkSession, sf_dir: str) -> DataFrame:
         view = gs.register(averages(spark, sf_dir), "monthly_energy")
         return rounded(gs.top_k_sql(spark, view, by, ascending=ascending))
 
-    return query
+    return one
 
 
 def monthly_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,7 +493,7 @@ def _top_query(by: str, ascending: bool) -> str:
 
 
 def _points(fields: dict[str, str], columns: str, tags: str, start: str, source: str) -> str:
-    """A query per field, under each other."""
+    """A SELECT per field, under each other."""
     one = "SELECT 'result' AS measurement, {tags}, '{f}' AS field, {e} AS value, {start} AS time_ms FROM {s}"
     parts = [one.format(tags=tags, f=f, e=e, start=start, s=source) for f, e in fields.items()]
     return f"WITH {R}, {columns} " + " UNION ALL ".join(parts)

@@ -13,7 +13,7 @@ from conftest import final_plan
 
 @pytest.fixture
 def stored(spark, random_readings, tmp_path):
-    """Readings in Parquet beside a column that no query needs."""
+    """Readings in Parquet beside a column that nothing needs."""
     random_readings.selectExpr("*", "'x' as other").repartition(6).write.parquet(str(tmp_path / "p"))
     return gs.read_readings(spark, str(tmp_path / "p"))
 

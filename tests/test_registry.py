@@ -1,4 +1,4 @@
-"""Every registered query against its SQL in DuckDB, at the smallest scale."""
+"""Every registered entry against its SQL in DuckDB, at the smallest scale."""
 
 import pytest
 
