@@ -24,7 +24,8 @@ _U = np.uint64
 START, END = _U(0x5354415254), _U(0x454E44)
 TOP = 5  # counts above are taken as they are, but for _FLOOR
 _FLOOR = 1e-3  # left by each such count, so that every context has something for unseen followers
-_FLUSH_BYTES = 24 << 20
+_FLUSH_BYTES = 12 << 20
+_ENTRIES = 1 << 20  # of a bucket at a time
 
 
 def word_hashes(text: str | None, roll: Rolling, blank: np.ndarray) -> np.ndarray:
@@ -219,45 +220,52 @@ def _met(parts: pd.DataFrame, unigrams: Unigrams, buckets: int) -> pd.DataFrame:
     """
     ids, train, words, contexts, before, in_texts, texts, times = [], [], [], [], [], [], [], []
     for row in parts.itertuples(index=False):
-        texts.append(_numbers(row.texts) + len(ids))
+        texts.append((_numbers(row.texts) + len(ids)).astype(np.int32))
         new = [row.ids[i : i + 16] for i in range(0, len(row.ids), 16)]
         train.append(np.unpackbits(np.frombuffer(row.train, np.uint8), count=len(new)).astype(bool))
         ids += new
         words.append(np.frombuffer(row.words, np.uint64))
-        contexts.append(_numbers(row.contexts))
+        contexts.append(_numbers(row.contexts).astype(np.int32))
         before.append(np.frombuffer(row.before, np.uint64))
-        in_texts.append(_numbers(row.in_texts))
-        times.append(_numbers(row.times))
+        in_texts.append(_numbers(row.in_texts).astype(np.int32))
+        times.append(_numbers(row.times).astype(np.int32))
     train, before, in_texts = np.concatenate(train), np.concatenate(before), np.concatenate(in_texts)
     texts, times = np.concatenate(texts), np.concatenate(times)
     vocabulary, word = np.unique(np.concatenate(words), return_inverse=True)
-    word = np.repeat(word, np.concatenate(contexts))  # of each pair
+    word = np.repeat(word.astype(np.int32), np.concatenate(contexts))  # of each pair
     # Equal pairs of different runs.
     order = np.lexsort((before, word))
     fresh = np.r_[True, (word[order][1:] != word[order][:-1]) | (before[order][1:] != before[order][:-1])]
-    pair = np.empty(len(order), np.int64)
-    pair[order] = np.cumsum(fresh) - 1
+    pair = np.empty(len(order), np.int32)
+    pair[order] = np.cumsum(fresh, dtype=np.int32) - 1
     pair_word, pair_before = word[order[fresh]], before[order[fresh]]
+    del word, before, order, fresh
     entry = np.repeat(pair, in_texts)
-    counts = np.bincount(entry, times * train[texts], len(pair_word)).astype(np.int64)
+    del pair, in_texts
+    pieces = [slice(i, i + _ENTRIES) for i in range(0, len(entry), _ENTRIES)]
+    counts = np.zeros(len(pair_word), np.int64)
+    for e in pieces:
+        np.add.at(counts, entry[e], times[e] * train[texts[e]])
     word_counts = np.bincount(pair_word, counts, len(vocabulary)).astype(np.int64)
 
     sums = np.zeros((len(_SUMS), len(ids)))
-    w = pair_word[entry]
-    of_word, of_pair = word_counts[w], counts[entry]
-    add = lambda row, values: np.add(sums[row], np.bincount(texts, values, len(ids)), out=sums[row])
-    add(0, times)
-    add(1, times * (of_word > 0))
-    add(2, times * unigrams.log_base(word_counts)[w])
-    unseen = of_pair == 0
-    own = np.where(unseen, np.log10(unigrams.probability(word_counts))[w], 0.0)
-    own[~unseen] = np.log10(of_pair[~unseen] - _FLOOR * (of_pair[~unseen] > TOP))
     # As a context, a known word divides by its count; where its follower is unseen that is put right.
     ends = vocabulary == END
     per_word = np.where((word_counts > 0) & ~ends, np.log10(np.maximum(word_counts, 1)), 0.0)
-    add(3, times * (own - per_word[w]))
-    for r in range(1, TOP + 1):
-        add(3 + r, times * (of_pair == r))
+    log_base, log_own = unigrams.log_base(word_counts), np.log10(unigrams.probability(word_counts))
+    for e in pieces:
+        w, c, n = pair_word[entry[e]], counts[entry[e]], times[e]
+
+        def add(row: int, values: np.ndarray, e: slice = e) -> None:
+            sums[row] += np.bincount(texts[e], values, len(ids))
+
+        log_pair = np.log10(np.maximum(c, 1) - _FLOOR * (c > TOP))
+        add(0, n)
+        add(1, n * (word_counts[w] > 0))
+        add(2, n * log_base[w])
+        add(3, n * (np.where(c > 0, log_pair, log_own[w]) - per_word[w]))
+        for r in range(1, TOP + 1):
+            add(3 + r, n * (c == r))
     distinct_ids, code = np.unique(np.array(ids, dtype=object), return_inverse=True)
     of_text = {c: np.bincount(code, s, len(distinct_ids)) for c, s in zip(_SUMS, sums)}
     made = pd.DataFrame({"kind": "text", "text_id": distinct_ids, **of_text})
@@ -285,7 +293,7 @@ def _met(parts: pd.DataFrame, unigrams: Unigrams, buckets: int) -> pd.DataFrame:
             k = by[s:e]
             owed = _small(m[:, k].ravel())
             rows.append({"kind": "owed", "bucket": int(bucket[k[0]]), "a": u[k].tobytes(), "b": p[k].tobytes(), "c": owed})
-    some = np.flatnonzero(unseen)
+    some = np.flatnonzero((counts == 0)[entry])
     if len(some):
         u = pair_before[entry[some]]
         bucket = (u % _U(buckets)).astype(np.int64)
