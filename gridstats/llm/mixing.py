@@ -158,8 +158,10 @@ def mixed_documents(
     """
     at, place = placed(docs)
     taken = mix(at, doc_id=doc_id, text=text, source=source, carry=(place,), **options)
-    taken = taken.where("copies > 0").select(F.col(place).alias("_taken_place"), "copies")
-    name = fresh(docs, copy)
-    each = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(name)
+    taken = taken.where("copies > 0").select(
+        F.col(place).alias("_taken_place"), F.col("copies").alias("_taken_copies")
+    )
     joined = at.join(taken, at[place] == taken["_taken_place"])
+    name = fresh(docs, copy)
+    each = F.explode(F.sequence(F.lit(1), taken["_taken_copies"])).alias(name)
     return joined.select(*[at[c] for c in docs.columns], each)
