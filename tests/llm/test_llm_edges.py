@@ -24,7 +24,7 @@ from gridstats.llm import (
     toxicity,
 )
 
-LONG = " ".join(f"word{i % 977}" for i in range(30_000))
+LONG = " ".join(f"word{i % 977}" for i in range(6_000))
 TEXTS = [
     (1, "The cat sat on the mat and looked at me all day", "en", "a"),
     (1, "The cat sat on the mat and looked at me all day", "en", "a"),  # the same row again
@@ -197,7 +197,7 @@ def test_katz_on_odd_rows(odd, none):
     assert len(rows) == odd.count() and katz.score_texts(none, F.lit(True)).count() == 0
     for r in rows:
         assert r.n_tokens >= 1 and r.n_known <= r.n_tokens and r.score <= 0 and np.isfinite(r.score)
-    assert {r.train_tokens for r in rows} == {12 * 2 + 12 + 1 + 30001 + 6 + 4}
+    assert {r.train_tokens for r in rows} == {13 * 3 + 1 + len(LONG.split()) + 1 + 6 + 4}
     untrained = katz.score_texts(odd, F.lit(False)).collect()
     assert {(r.score, r.base_score, r.n_known) for r in untrained} == {(0.0, 0.0, 0)}
 
