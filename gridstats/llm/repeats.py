@@ -90,6 +90,19 @@ def _numbers(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
+def _as_runs(places: np.ndarray) -> bytes:
+    """Sorted places as runs of places next to each other: starts, then lengths."""
+    starts = np.flatnonzero(np.r_[True, places[1:] != places[:-1] + 1])
+    lengths = np.diff(np.r_[starts, len(places)])
+    return np.stack([places[starts], lengths]).astype("<i8").tobytes()
+
+
+def _from_runs(data: bytes) -> np.ndarray:
+    starts, lengths = np.frombuffer(data, "<i8").reshape(2, -1)
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(lengths.sum())
+
+
 def _cuts(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of runs of equal values."""
     starts = np.flatnonzero(np.r_[True, order[1:] != order[:-1]]) if len(order) else np.empty(0, int)
@@ -207,7 +220,7 @@ def _equal_strings(open_texts: DataFrame, size: int, buckets: int) -> DataFrame:
 
         for batch in batches:
             for text_id, text, places in zip(batch["text_id"], batch["text"], batch["places"]):
-                own.append(_string_hashes(text, np.frombuffer(places, "<i8"), size, rolls))
+                own.append(_string_hashes(text, _from_runs(places), size, rolls))
                 ids.append(bytes(text_id))
                 size_now += 8 * len(own[-1][0])
                 if size_now > _FLUSH_BYTES or len(ids) >= _FLUSH_TEXTS:
@@ -307,7 +320,7 @@ def repeated_passages(
                 places = open_places(len(data), triggers, repeated, size)
                 if len(places):
                     shard = _shard(bytes(text_id), parts)
-                    found.append((shard, text_id, text_, places.astype("<i8").tobytes()))
+                    found.append((shard, text_id, text_, _as_runs(places)))
             yield pd.DataFrame(found, columns=["shard", "text_id", "text", "places"])
 
     parts = 4 * buckets
@@ -330,7 +343,7 @@ def repeated_passages(
             own = said.get(bytes(text_id))
             if own is None:
                 continue
-            places = np.frombuffer(places, "<i8")
+            places = _from_runs(places)
             bucket = (_string_hashes(text_, places, size, [roll])[0] % _U(parts)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             starts, ends = _cuts(bucket[order])
