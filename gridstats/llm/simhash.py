@@ -8,7 +8,7 @@ visits the other's leaf. Leaves are compared in blocks of bounded size, so all p
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -154,6 +154,9 @@ def near_links(
     block_rows: int = 32768,
     visitor_rows: int = 32768,
     sample_rows: int = 16384,
+    mark: str = "fp",
+    carried: Sequence[str] = (),
+    compare: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame] | None = None,
 ) -> DataFrame:
     """Links ``(a, b)`` that tie together what chains of pairs within ``radius`` of the distinct ``fp`` of
     ``points`` tie together.
@@ -162,7 +165,8 @@ def near_links(
     fingerprint is then dealt to it. It is two levels deep, and a level deeper for each third that leaves
     must shrink to hold ``leaf_rows``. Blocks hold about ``block_rows`` members of a leaf and
     ``visitor_rows`` of those that visit it, however many there are of either. A block gives a spanning
-    forest of its pairs.
+    forest of its pairs. Another ``compare`` gets the members and the visitors of a block with the long
+    columns ``carried`` and gives the links; ``mark`` is the column by which rows are dealt to blocks.
 
     Random fingerprints lie at distances close to 32 from any vantage point, so that a level spares only a
     third of the comparisons and triples the visits. Both grow faster than the points: with N distinct
@@ -178,28 +182,32 @@ def near_links(
         for batch in batches:
             fp = batch["fp"].to_numpy(np.int64)
             leaf, which, home = tree.visits(fp.view(np.uint64))
-            yield pd.DataFrame({"leaf": leaf, "fp": fp[which], "home": home})
+            more = {c: batch[c].to_numpy(np.int64)[which] for c in carried}
+            yield pd.DataFrame({"leaf": leaf, "fp": fp[which], "home": home, **more})
 
-    visits = kept(points.select("fp").mapInPandas(deal, "leaf long, fp long, home boolean"), "visits")
+    shape = "leaf long, fp long, home boolean" + "".join(f", {c} long" for c in carried)
+    visits = kept(points.select("fp", *carried).mapInPandas(deal, shape), "visits")
     held = visits.groupBy("leaf").agg(
         F.ceil(F.count_if("home") / block_rows).alias("parts"),
         F.ceil(F.count("*") / visitor_rows).alias("shifts"),
     )
     visits = visits.join(held.where("parts > 0"), "leaf")
-    one_of = lambda c: F.pmod(F.xxhash64("fp"), F.col(c))
+    one_of = lambda c: F.pmod(F.xxhash64(mark), F.col(c))
     each_of = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1))
     members = visits.where("home").select(
-        "leaf", "fp", one_of("parts").alias("part"), each_of("shifts").alias("shift")
+        "leaf", "fp", *carried, one_of("parts").alias("part"), each_of("shifts").alias("shift")
     )
-    visitors = visits.select("leaf", "fp", one_of("shifts").alias("shift"), each_of("parts").alias("part"))
-    visitors = visitors.toDF("to_leaf", "fp", "to_shift", "to_part")
+    visitors = visits.select(
+        "leaf", "fp", *carried, one_of("shifts").alias("shift"), each_of("parts").alias("part")
+    )
+    visitors = visitors.toDF("to_leaf", "fp", *carried, "to_shift", "to_part")
     of_members = members.groupBy("leaf", "part", "shift")
     of_visitors = visitors.groupBy("to_leaf", "to_part", "to_shift")
 
-    def compare(own: pd.DataFrame, come: pd.DataFrame) -> pd.DataFrame:
+    def near(own: pd.DataFrame, come: pd.DataFrame) -> pd.DataFrame:
         return _compare(own, come, radius)
 
-    return of_members.cogroup(of_visitors).applyInPandas(compare, "a long, b long")
+    return of_members.cogroup(of_visitors).applyInPandas(compare or near, "a long, b long")
 
 
 def _components(docs: DataFrame, place: str, doc_id: str, text: str, radius: int) -> DataFrame:
