@@ -167,20 +167,21 @@ def _pairs(texts: DataFrame, buckets: int) -> DataFrame:
             cuts = _cuts(bucket[which])
             pair_ends, entry_ends = np.r_[word, len(code)], np.r_[pair, len(entry)]
             rows = []
-            names, flags = b"".join(ids), np.packbits(train).tobytes()
+            flags = np.array(train)
             for s, e in zip(*cuts):
                 p = slice(pair_ends[s], pair_ends[e])
                 t = slice(entry_ends[p.start], entry_ends[p.stop])
+                mine, local = np.unique(text[entry[t]], return_inverse=True)  # texts with an entry here
                 rows.append(
                     (
                         int(bucket[which[s]]),
-                        names,
-                        flags,
+                        b"".join(ids[i] for i in mine),
+                        np.packbits(flags[mine]).tobytes(),
                         vocabulary[which[s:e]].tobytes(),
                         _small(contexts[s:e]),
                         vocabulary[code[p] & 0xFFFFFFFF].tobytes(),
                         _small(in_texts[p]),
-                        _small(text[entry[t]]),
+                        _small(local),
                         _small(times[t]),
                     )
                 )

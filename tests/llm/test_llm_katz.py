@@ -1,0 +1,24 @@
+"""What the buckets of the Katz model are sent."""
+
+from __future__ import annotations
+
+import numpy as np
+
+from gridstats.llm import katz
+from gridstats.llm.repeats import _numbers
+
+
+def test_buckets_get_only_texts_with_an_entry_there(spark):
+    rows = [(i.to_bytes(16, "big"), f"word{i} other{i}", i % 3 == 0) for i in range(500)]
+    df = spark.createDataFrame(rows, "text_id binary, text string, train boolean").repartition(2)
+    buckets = 64
+    parts = katz._pairs(df, buckets).collect()
+    sent = 0
+    for r in parts:
+        ids = [bytes(r.ids[i : i + 16]) for i in range(0, len(r.ids), 16)]
+        texts = _numbers(bytes(r.texts))
+        assert set(texts.tolist()) == set(range(len(ids)))
+        train = np.unpackbits(np.frombuffer(r.train, np.uint8), count=len(ids)).astype(bool)
+        assert train.tolist() == [int.from_bytes(i, "big") % 3 == 0 for i in ids]
+        sent += len(ids)
+    assert len({r.bucket for r in parts}) == buckets and sent <= 3 * len(rows)
