@@ -3,11 +3,12 @@
 Every source gets a number of words to give. Among all ways to spread them over its documents the one of
 greatest entropy over words is sought: rates ``exp(lambda)`` that solve the convex dual
 ``sum(size * exp(lambda)) - lambda * target``, by Newton steps per source. Rates are then rounded into
-whole copies, document by document, with what rounding leaves carried to the next.
+whole copies, size by size, with what rounding leaves carried to the next smaller size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -76,6 +77,43 @@ def newton_rate(mass: Column, target: Column, steps: int = 60) -> Column:
     return F.when((mass > 0) & (target > 0), F.exp(best)).otherwise(0.0)
 
 
+def _shares(sized: DataFrame, most: int, step: int = 256) -> DataFrame:
+    """Per source and size: ``of_src, of_size, n_same, source_size, target, rate, share``, the last the copies
+    that all documents of the size get together.
+
+    ``sized`` has a row per source and size; those of a source are gone through in one array, largest first,
+    ``step`` sizes at a time.
+    """
+    one = F.struct((-F.col("size")).alias("order"), "size", "n_same")
+    fixed = ["src", "source_size", "target", "rate"]
+    per = sized.groupBy(*fixed).agg(F.sort_array(F.collect_list(one)).alias("sizes"))
+    starts = F.sequence(F.lit(0), F.floor((F.size("sizes") - 1) / step).cast("int"))
+    runs = F.transform(starts, lambda k: F.slice("sizes", k * step + 1, step))
+
+    def give(state: Column, member: Column) -> Column:
+        size, n = member["size"], member["n_same"]
+        due = state["due"] + F.col("rate") * size * n
+        near = F.least(F.greatest(F.round(due / size), F.lit(0.0)), (n * most).cast("double"))
+        share = F.when(size > 0, near).otherwise(0.0)
+        return F.struct(
+            (due - share * size).alias("due"),
+            F.concat(state["given"], F.array(share.cast("bigint"))).alias("given"),
+        )
+
+    def through(state: Column, run: Column) -> Column:
+        start = F.struct(state["due"].alias("due"), F.array().cast("array<bigint>").alias("given"))
+        done = F.aggregate(run, start, give)
+        return F.struct(done["due"].alias("due"), F.concat(state["given"], F.array(done["given"])).alias("given"))
+
+    start = F.struct(F.lit(0.0).alias("due"), F.array().cast("array<array<bigint>>").alias("given"))
+    given = F.flatten(F.aggregate(runs, start, through, lambda s: s["given"])).alias("given")
+    each = per.select(*fixed, "sizes", given).select(*fixed, F.explode(F.arrays_zip("sizes", "given")).alias("m"))
+    return each.select(
+        F.col("src").alias("of_src"), F.col("m.sizes.size").alias("of_size"), F.col("m.sizes.n_same").alias("n_same"),
+        "source_size", "target", "rate", F.col("m.given").alias("share"),
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -89,12 +127,13 @@ def mix(
 ) -> DataFrame:
     """Per document: ``doc_id, size, source_size, target, rate, copies, taken`` and the ``carry`` columns.
 
-    ``taken = copies * size``, with at most ``ceil(most)`` copies; reruns agree. The documents of a source
-    are dealt into buckets of about ``docs_per_bucket`` by a hash of id and text, so that a source that
-    holds most rows is split. In a bucket, largest first, each document gets the copies that bring the sum
-    taken nearest to the sum due; what is left over at the end is no larger than its small documents. A
-    null or blank text has size 0, gets no copy, and counts in nothing; null sources form one source;
-    rows repeated in ``docs`` each get copies of their own.
+    ``taken = copies * size``, with at most ``ceil(most)`` copies; reruns agree. Documents of one source and
+    size share copies, largest size first: as many as bring the sum the source has taken nearest to the sum
+    due; what is left goes on to the next size. In the end no more than half of a smallest document is left,
+    as far as the small documents can make up for the large ones. The copies of one size are spread evenly
+    over its documents, which are numbered in buckets of about ``docs_per_bucket`` by a hash of id and text,
+    so that a source or size that holds most rows is split. A null or blank text has size 0, gets no copy,
+    and counts in nothing; null sources form one source; rows repeated in ``docs`` each get copies of their own.
     """
     named = docs.select(
         F.col(doc_id).alias("doc"),
@@ -103,43 +142,44 @@ def mix(
         F.xxhash64(F.col(doc_id), F.col(text)).alias("mark"),
         F.struct(*[F.col(c) for c in carry]).alias("kept") if carry else F.lit(0).alias("kept"),
     )
-    targets = source_targets(named.select("src", "size"), "src", "size", weights, total, most)
+    sized = named.groupBy("src", "size").agg(F.count("*").alias("n_same"))
+    words = sized.select("src", "n_same", (F.col("size") * F.col("n_same")).alias("words"))
+    targets = source_targets(words, "src", "words", weights, total, most)
     rated = targets.withColumn("rate", newton_rate(F.col("source_size"), F.col("target")))
     rated = rated.withColumnRenamed("src", "rated_src")
-    joined = named.join(rated, F.col("src").eqNullSafe(F.col("rated_src")))
-    buckets = F.ceil(F.col("n_docs") / docs_per_bucket)
-    one = F.struct((-F.col("size")).alias("order"), "mark", "doc", "size", "kept")
-    dealt = joined.groupBy(
-        "src", "source_size", "target", "rate", F.pmod("mark", buckets).alias("bucket")
-    ).agg(F.sort_array(F.collect_list(one)).alias("members"))
-
-    def copies(due: Column, size: Column) -> Column:
-        near = F.round(due / size)
-        return F.when(size > 0, F.least(F.greatest(near, F.lit(0.0)), F.lit(float(most)))).otherwise(0.0)
-
-    def give(state: Column, member: Column) -> Column:
-        due = state["due"] + F.col("rate") * member["size"]
-        n = copies(due, member["size"])
-        return F.struct(
-            (due - n * member["size"]).alias("due"),
-            F.concat(state["given"], F.array(n.cast("int"))).alias("given"),
-        )
-
-    start = F.struct(F.lit(0.0).alias("due"), F.array().cast("array<int>").alias("given"))
-    given = dealt.select("*", F.aggregate("members", start, give, lambda s: s["given"]).alias("given"))
-    each = given.select(
-        "source_size", "target", "rate", F.explode(F.arrays_zip("members", "given")).alias("m")
+    shares = _shares(sized.join(rated, F.col("src").eqNullSafe(F.col("rated_src"))), math.ceil(most))
+    same = F.col("src").eqNullSafe(F.col("of_src")) & (F.col("size") == F.col("of_size"))
+    joined = named.join(shares, same)
+    bucket = F.pmod("mark", F.ceil(F.col("n_same") / docs_per_bucket)).alias("bucket")
+    dealt = joined.select("*", bucket)
+    held = dealt.groupBy("of_src", "of_size", "bucket").agg(F.count("*").alias("held"))
+    before = Window.partitionBy("of_src", "of_size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select(
+        F.col("of_src").alias("at_src"),
+        F.col("of_size").alias("at_size"),
+        F.col("bucket").alias("at_bucket"),
+        F.coalesce(F.sum("held").over(before), F.lit(0)).alias("ahead"),
+    )
+    # The number of a row in its size; a row gets what the number adds to the copies given so far.
+    within = Window.partitionBy("src", "size", "bucket").orderBy("mark", "doc")
+    numbered = dealt.withColumn("number", F.row_number().over(within))
+    here = (
+        F.col("src").eqNullSafe(F.col("at_src"))
+        & (F.col("size") == F.col("at_size"))
+        & (F.col("bucket") == F.col("at_bucket"))
     )
-    n = F.col("m.given")
+    placed_at = numbered.join(held, here).withColumn("number", F.col("number") + F.col("ahead"))
+    n = F.expr("share div n_same + number * (share % n_same) div n_same - (number - 1) * (share % n_same) div n_same")
+    each = placed_at.withColumn("given", n.cast("int"))
     return each.select(
-        F.col("m.members.doc").alias(doc_id),
-        F.col("m.members.size").alias("size"),
+        F.col("doc").alias(doc_id),
+        "size",
         "source_size",
         "target",
         "rate",
-        n.alias("copies"),
-        (n * F.col("m.members.size")).cast("bigint").alias("taken"),
-        *[F.col(f"m.members.kept.`{c}`").alias(c) for c in carry],
+        F.col("given").alias("copies"),
+        (F.col("given") * F.col("size")).cast("bigint").alias("taken"),
+        *[F.col(f"kept.`{c}`").alias(c) for c in carry],
     )
 
 
