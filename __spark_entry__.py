@@ -40,7 +40,7 @@ def optional(name: str) -> ModuleType | None:
     try:
         return importlib.import_module(name)
     except ModuleNotFoundError as missing:
-        if missing.name not in (name, name.rpartition(".")[0]):
+        if not any(missing.name == gone or (missing.name or "").startswith(f"{gone}.") for gone in (name, "gridstats.llm")):
             raise
         return None
 
@@ -177,7 +177,7 @@ def monthly_rankings_sql_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL averages as a view, and the four SQL lists over it."""
     view = gs.register(gs.with_period(readings(spark, sf_dir), "month_start"), "energy_by_month")
     months = steady(gs.monthly_averages_sql(spark, view, HOME))
-    lists = gs.monthly_rankings_sql(spark, gs.register(months, "aggregated"))
+    lists = gs.monthly_rankings_sql(spark, gs.register(months, "monthly_of_home"))
     named = [rows.select(F.lit(name).alias("ranking"), "*") for name, rows in lists.items()]
     return rounded(reduce(DataFrame.unionByName, named))
 
@@ -488,7 +488,7 @@ def _top(by: str, ascending: bool) -> str:
     return f"SELECT * FROM months ORDER BY {by} {order}, {YEAR_MONTH} LIMIT 5"
 
 
-def _top_query(by: str, ascending: bool) -> str:
+def _ranked(by: str, ascending: bool) -> str:
     return f"WITH {R}, {MONTHS} SELECT {ROUNDED} FROM ({_top(by, ascending)})"
 
 
@@ -598,12 +598,12 @@ def oracle_sql() -> dict[str, str]:
                    round({AVG_CFE}, 6) AS {AVG_CFE}
             FROM months ORDER BY {YEAR_MONTH}""",
         "monthly_averages_csv": MONTHLY,
-        "top_ci_desc": _top_query(AVG_CI, False),
-        "top_ci_asc": _top_query(AVG_CI, True),
-        "top_cfe_desc": _top_query(AVG_CFE, False),
-        "top_cfe_asc": _top_query(AVG_CFE, True),
-        "top_ci_desc_sql": _top_query(AVG_CI, False),
-        "top_cfe_asc_sql": _top_query(AVG_CFE, True),
+        "top_ci_desc": _ranked(AVG_CI, False),
+        "top_ci_asc": _ranked(AVG_CI, True),
+        "top_cfe_desc": _ranked(AVG_CFE, False),
+        "top_cfe_asc": _ranked(AVG_CFE, True),
+        "top_ci_desc_sql": _ranked(AVG_CI, False),
+        "top_cfe_asc_sql": _ranked(AVG_CFE, True),
         "monthly_extremes": f"WITH {R}, {MONTHS} {union}",
         "monthly_rankings_sql_chain": f"""WITH {R}, {MONTHS}
             SELECT *, '{HOME}' AS {ZONE} FROM ({union})""",

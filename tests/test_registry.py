@@ -1,5 +1,11 @@
 """Every registered entry against its SQL in DuckDB, at the smallest scale."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -19,11 +25,11 @@ OWN = [name for name in entry.queries() if name not in LLM]
 
 
 @pytest.mark.parametrize("name", OWN)
-def test_query(spark, con, name):
+def test_entry_against_sql(spark, con, name):
     assert difference(entry.queries()[name](spark, DATA), con, entry.oracle_sql()[name]) is None
 
 
-def test_every_query_has_sql():
+def test_every_own_entry_has_sql():
     assert set(OWN) == {name for name in entry.oracle_sql() if name not in LLM}
 
 
@@ -42,3 +48,18 @@ def test_no_label_per_reading(spark, name):
     plan = final_plan(entry.queries()[name](spark, DATA))
     # Below the partial aggregate, which is printed after the exchange, nothing is formatted.
     assert "date_format" in plan and "date_format" not in plan[plan.rindex("partial_count") :]
+
+
+@pytest.mark.parametrize("also", [(), ("corpus_pipeline.py",)])
+def test_import_without_text_operators(tmp_path, also):
+    """A copy of the library without the optional package imports and registers the rest."""
+    root = Path(entry.__file__).parent
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if name not in also and (root / name).exists():
+            shutil.copy(root / name, tmp_path / name)
+    shutil.copytree(root / "gridstats", tmp_path / "gridstats", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.oracle_sql()), e.llm, e.pipeline, *sorted(e.queries()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr
+    assert run.stdout.split() == ["True", "None", "None", *sorted(OWN)]
