@@ -9,6 +9,7 @@ from gridstats.llm import (
     chat,
     decontaminate,
     exact,
+    importance,
     katz,
     language,
     mixing,
@@ -123,6 +124,11 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = importance.importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -134,6 +140,7 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op8_mix_sources": op8_mix_sources,
+    "op13_importance": op13_importance,
 }
 
 _WORD = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
@@ -206,7 +213,48 @@ WITH doc AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
 FROM doc JOIN class USING (t)"""
 
+def _features(table_name: str, key: str) -> str:
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}')"
+    return f"SELECT {key} AS id, {words} AS w FROM {table_name}"
+
+
+_RUNS = "unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f"
+_IMPORTANCE = f"""
+WITH doc AS ({_features("documents", "doc_id")}), item AS ({_features("benchmark", "item_id")}),
+doc_f AS (SELECT id, {_RUNS} FROM doc), item_f AS (SELECT id, {_RUNS} FROM item),
+crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), bytes AS (
+  SELECT f, list_transform(range(len(h) // 2), lambda j: CAST('0x' || substr(h, 2 * j + 1, 2) AS BIGINT)) AS b
+  FROM (SELECT f, hex(f) AS h FROM (SELECT f FROM doc_f UNION SELECT f FROM item_f))
+), hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b),
+                            lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, crc
+), raw AS (SELECT bucket, CAST(count(*) AS DOUBLE) AS n FROM doc_f JOIN hashed USING (f) GROUP BY bucket),
+target AS (SELECT bucket, CAST(count(*) AS DOUBLE) AS n FROM item_f JOIN hashed USING (f) GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1) * ((SELECT sum(n) FROM raw) + 10000)
+           / ((raw.n + 1) * (coalesce((SELECT sum(n) FROM target), 0) + 10000)))) AS g
+  FROM raw LEFT JOIN target t USING (bucket)
+), weighed AS (
+  SELECT id, count(*) AS n_features, CAST(floor(sum(g) / count(*)) AS BIGINT) AS weight
+  FROM doc_f JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY id
+), scored AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+           (CAST('0x' || substr(sha256('7:' || id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM doc LEFT JOIN weighed USING (id)
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able
+  FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * able // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)"""
+
 SQL = {
+    "op13_importance": _IMPORTANCE,
     "op7_exact_dedup": _EXACT,
     "op3_decontaminate": _DECONTAMINATE,
     "op5_chat_format": _CHAT,
