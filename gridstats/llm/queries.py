@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridstats.llm import (
+    alignment,
     chat,
     decontaminate,
     exact,
@@ -14,6 +15,7 @@ from gridstats.llm import (
     language,
     mixing,
     repeats,
+    secrets,
     simhash,
     tokens,
     toxicity,
@@ -129,6 +131,25 @@ def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.KINDS))
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{secrets.KINDS[kind]}")
+
+    return found.select(
+        "doc_id",
+        *[number(k) for k in range(len(secrets.KINDS))],
+        F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
+        secrets.span_list(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -140,6 +161,8 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op8_mix_sources": op8_mix_sources,
+    "op11_align_tokens": op11_align_tokens,
+    "op12_secrets": op12_secrets,
     "op13_importance": op13_importance,
 }
 
@@ -253,7 +276,102 @@ gain AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * able // 100 THEN place END AS rank
 FROM scored LEFT JOIN ranked USING (doc_id)"""
 
+def _either_case(pattern: str) -> str:
+    """A pattern with words in small letters, for A-Z in either case; letters beyond ASCII never match."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in pattern)
+
+
+_ASSIGN = (
+    f"({_either_case('password|passwd|secret|token|api_?key')})"
+    r"""["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def _found(pattern: str) -> str:
+    """Lists of starts, ends and texts of the matches."""
+    found, between = f"regexp_extract_all(t, '{pattern}')", f"string_split_regex(t, '{pattern}')"
+    return f"""SELECT doc_id, unnest(list_transform(range(1, len(f) + 1), lambda i: {{'f': f[i], 's': CAST(
+        list_sum(list_transform(b[1:i], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS BIGINT)}}), recursive := true)
+        FROM (SELECT doc_id, {found} AS f, {between} AS b FROM doc)"""
+
+
+def _tail(z: str) -> str:
+    """Probability above the non-negative ``z`` of a standard normal."""
+    x = f"(({z}) / sqrt(2.0::DOUBLE))"
+    t = f"(1 / (1 + 0.3275911::DOUBLE * {x}))"
+    series = (
+        f"{t} * (0.254829592::DOUBLE + {t} * (-0.284496736::DOUBLE + {t} * (1.421413741::DOUBLE"
+        f" + {t} * (-1.453152027::DOUBLE + {t} * 1.061405429::DOUBLE))))"
+    )
+    return f"({series} * exp(-{x} * {x}) / 2)"
+
+
+_ENCODED = " ".join(
+    "WHEN "
+    + " AND ".join(f"regexp_matches(f, '{x}')" for x in (e.shape, *e.needs))
+    + f" THEN {{'e': {i}, 'a': '{e.alphabet}'}}"
+    for i, e in enumerate(secrets.ENCODINGS.values())
+)
+_CHI = "((cbrt((squares * k / n - n) / (k - 1)) - (1 - 2 / (9 * (k - 1)))) / sqrt(2 / (9 * (k - 1))))"
+_BOTH = "(2 * ones * (n - ones))"
+_RUNS_Z = f"(changes + 1 - ({_BOTH} / n + 1)) / nullif(sqrt({_BOTH} * ({_BOTH} - n) / (n * n * (n - 1))), 0)"
+_SECRETS = f"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (
+  SELECT doc_id, 0 AS kind, s, s + length(f) AS e FROM ({_found(_ASSIGN)})
+  WHERE length(regexp_extract(f, '{_ASSIGN}', 2)) >= 6
+  UNION ALL SELECT doc_id, 1, s, s + length(f) FROM ({_found("AKIA[A-Z0-9]+")}) WHERE length(f) >= 20
+  UNION ALL SELECT doc_id, 2, s, s + length(f) FROM ({_found("[0-9a-f]+")}) WHERE length(f) >= 24
+), fits AS (
+  SELECT doc_id, s, s + length(f) AS e, rtrim(f, '=') AS f, CASE {_ENCODED} END AS c
+  FROM ({_found("[A-Za-z0-9+/_-]{20,}={0,6}")})
+), parts AS (
+  SELECT doc_id, s, e, c.e * 31 + CAST(floor(log2(length(f))) AS INTEGER) AS stratum,
+         CAST(length(f) AS DOUBLE) AS n, CAST(length(c.a) AS DOUBLE) AS k,
+         CAST(list_sum(list_transform(range(1, length(c.a) + 1),
+           lambda i: power(length(f) - length(replace(f, substr(c.a, i, 1), '')), 2))) AS DOUBLE) AS squares,
+         translate(f, c.a, repeat('0', length(c.a) // 2) || repeat('1', length(c.a) - length(c.a) // 2)) AS bits,
+         list_transform(range(1, length(f) + 1), lambda i: CAST(strpos(c.a, substr(f, i, 1)) AS DOUBLE)) AS x
+  FROM fits WHERE c IS NOT NULL
+), moments AS (
+  SELECT *, (n - length(replace(bits, '01', ''))) / 2 + (n - length(replace(bits, '10', ''))) / 2 AS changes,
+         n - length(replace(bits, '1', '')) AS ones, list_transform(x, lambda v: v - list_sum(x) / n) AS y
+  FROM parts
+), scores AS (
+  SELECT doc_id, s, e, stratum, {_CHI} AS z,
+         abs({_RUNS_Z}) AS z_runs,
+         abs((list_sum(list_transform(range(1, len(y)), lambda i: y[i] * y[i + 1]))
+              / nullif(list_sum(list_transform(y, lambda v: v * v)), 0) + 1 / n) * sqrt(n)) AS z_serial
+  FROM moments
+), tested AS (
+  SELECT doc_id, s, e, stratum, least(1, 3 * least(
+           CASE WHEN z >= 0 THEN {_tail("z")} ELSE 1 - {_tail("-z")} END,
+           coalesce(2 * {_tail("z_runs")}, 0), coalesce(2 * {_tail("z_serial")}, 0))) AS p
+  FROM scores
+), steps AS (
+  SELECT stratum, i, count(*) FILTER (p >= i / 50) AS n, 2 * count(*) FILTER (p >= 0.5) / 50 AS even
+  FROM tested, (SELECT unnest(range(1, 26)) AS i) GROUP BY stratum, i
+), limits AS (SELECT stratum, min(i) / 50 AS p FROM steps WHERE n > 0 AND n - even * (50 - i) <= 0.1 * n GROUP BY stratum),
+noise AS (
+  SELECT doc_id, 3 AS kind, s, e FROM tested JOIN limits USING (stratum)
+  WHERE tested.p >= limits.p AND NOT EXISTS (
+    SELECT 1 FROM base WHERE base.doc_id = tested.doc_id AND base.s < tested.e AND tested.s < base.e)
+), listed AS (
+  SELECT doc_id, kind, s, (['assign', 'access', 'hex', 'noise'])[kind + 1] || ':' || s || ':' || e AS span
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM noise)
+), summed AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+         count(*) FILTER (kind = 2) AS n_hex, string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 3) AS base,
+         string_agg(span, ',' ORDER BY s, kind) AS spans
+  FROM listed GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN summed USING (doc_id)"""
+
 SQL = {
+    "op12_secrets": _SECRETS,
     "op13_importance": _IMPORTANCE,
     "op7_exact_dedup": _EXACT,
     "op3_decontaminate": _DECONTAMINATE,
