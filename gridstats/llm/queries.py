@@ -352,7 +352,7 @@ base AS (
 ), steps AS (
   SELECT stratum, i, count(*) FILTER (p >= i / 50) AS n, 2 * count(*) FILTER (p >= 0.5) / 50 AS even
   FROM tested, (SELECT unnest(range(1, 26)) AS i) GROUP BY stratum, i
-), limits AS (SELECT stratum, min(i) / 50 AS p FROM steps WHERE n > 0 AND n - even * (50 - i) <= 0.1 * n GROUP BY stratum),
+), limits AS (SELECT stratum, min(i) / 50 AS p FROM steps WHERE n > 0 AND n - even * (50 - i) <= 0.05 * n GROUP BY stratum),
 noise AS (
   SELECT doc_id, 3 AS kind, s, e FROM tested JOIN limits USING (stratum)
   WHERE tested.p >= limits.p AND NOT EXISTS (

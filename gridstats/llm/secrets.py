@@ -244,7 +244,7 @@ class Thresholds:
         return F.coalesce(span["p"] >= F.try_element_at(F.create_map(*pairs), span["stratum"]), F.lit(False))
 
 
-def false_share_thresholds(tokens: DataFrame, most: float = 0.1) -> Thresholds:
+def false_share_thresholds(tokens: DataFrame, most: float = 0.05) -> Thresholds:
     """Thresholds from all ``tokens (stratum, p)`` of a corpus.
 
     Twice the tokens with a p-value above one half would be random if all of those were; random ones fall
@@ -265,7 +265,7 @@ def false_share_thresholds(tokens: DataFrame, most: float = 0.1) -> Thresholds:
 
 
 def scan_secrets(
-    docs: DataFrame, most_false: float = 0.1, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, most_false: float = 0.05, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Per row: ``doc_id, spans``, an array of ``start, kind, end`` in code points, ends exclusive.
 
