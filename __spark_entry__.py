@@ -223,6 +223,67 @@ def result_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gs.result_sizes({"averages": report.averages, **report.rankings})
 
 
+def monthly_report_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest of a published report says of each folder, beside the rows that are in it."""
+    path = new_folder(spark)
+    gs.save_monthly_report(averages(spark, sf_dir), path, manifest=True)
+    folders = {"averages": AVERAGES_FOLDER, **RANKING_FOLDERS}
+    names = F.create_map(*[F.lit(x) for name, folder in folders.items() for x in (folder, name)])
+    said = gs.read_manifest(spark, path).select(F.element_at(names, F.col("folder")).alias("ranking"), "n_rows")
+    read = read_monthly_report(spark, path).groupBy(F.col("ranking").alias("of")).agg(F.count("*").alias("n_read"))
+    return said.join(read, said.ranking == read.of).select("ranking", "n_rows", "n_read")
+
+
+def report_sizes_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each result, counted as they were written."""
+    sizes = gs.save_monthly_report(averages(spark, sf_dir), new_folder(spark))
+    return spark.createDataFrame(list(sizes.items()), "name string, n_rows long")
+
+
+def zone_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(gs.zone_extremes(readings(spark, sf_dir), digits=8))
+
+
+def stored_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of all months, those of one year delivered wrong first and then again."""
+    path = new_folder(spark, "months")
+    own = readings(spark, sf_dir)
+    wrong = F.col(TIME).startswith("1995")
+    gs.store_days(own.withColumn(CI, F.when(wrong, F.col(CI) * 2).otherwise(F.col(CI))), path, unit="month")
+    gs.store_days(own.where(wrong), path, unit="month")
+    return gs.read_days(spark, path)
+
+
+def zone_year_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(steady(gs.zone_year_from_store(stored_months(spark, sf_dir))))
+
+
+def monthly_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(steady(gs.monthly_from_store(stored_months(spark, sf_dir), HOME)))
+
+
+def damaged_readings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Readings from a file in which some lines are bad, told by their share: whole ones and bad lines."""
+    share = F.round(F.col(CFE)).cast("int")
+    time = F.when(share == 7, F.translate(TIME, "-", "/")).otherwise(F.col(TIME))
+    price = F.when(share == 3, "n/a").otherwise(F.col(CI).cast("string"))
+    discount = F.when(share == 9, F.concat(F.col(CFE).cast("string"), F.lit("%"))).otherwise(F.col(CFE).cast("string"))
+    line = F.when(share == 5, F.concat_ws(",", time, ZONE, price)).otherwise(F.concat_ws(",", time, ZONE, price, discount))
+    path = new_folder(spark, "damaged")
+    readings(spark, sf_dir).select(line.alias("line")).write.text(path)
+    return gs.split_readings(spark, path)
+
+
+def split_good_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_readings(spark, sf_dir)[0]
+
+
+def split_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = damaged_readings(spark, sf_dir)[1]
+    zone = F.split("line", ",")[1].alias(ZONE)
+    return bad.groupBy("reason", zone).agg(F.count("*").alias("n_rows"))
+
+
 def period_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = gs.time_column(readings(spark, sf_dir)).cast("date")
     days = readings(spark, sf_dir).groupBy(day.alias("day")).agg(F.count("*").alias("n_rows"))
@@ -366,6 +427,24 @@ def point_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def point_source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points written through the data source, and the lines that its commit left."""
+    path = new_folder(spark, "points")
+    gs.save_points(extreme_points(spark, sf_dir), path)
+    return gs.read_lines(spark, path)
+
+
+def point_source_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points that the commits of two jobs count, one to files and one through a writer in the tasks."""
+    path, sent = new_folder(spark, "points"), new_folder(spark, "sent")
+    points = extreme_points(spark, sf_dir)
+    gs.save_points(points, path)
+    gs.save_points(points, path, file_writer(sent), batch_size=64)
+    jobs = gs.read_commits(spark, path).groupBy("job").agg(F.sum("n_points").alias("committed"))
+    n_sent = read_points(spark, sent).agg(F.count("*")).first()[0]
+    return jobs.select("committed", F.lit(n_sent).cast("bigint").alias("sent"))
+
+
 def zone_year_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One report, CSV and points: the rows of the file beside the fields of the points."""
     path, points_path = new_folder(spark), new_folder(spark, "points")
@@ -439,6 +518,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zone_year_point_lines": zone_year_point_lines,
         "point_line_files": point_line_files,
         "point_writer": point_writer,
+        "point_source_lines": point_source_lines,
+        "point_source_commits": point_source_commits,
+        "monthly_report_published": monthly_report_published,
+        "report_sizes_observed": report_sizes_observed,
+        "zone_extremes": zone_extremes,
+        "zone_year_from_store": zone_year_from_store,
+        "monthly_from_store": monthly_from_store,
+        "split_good_readings": split_good_readings,
+        "split_bad_lines": split_bad_lines,
         "custom_metric_points": custom_metric_points,
         "run_time_points": run_time_points,
         "run_time_point_lines": run_time_point_lines,
@@ -567,6 +655,17 @@ def oracle_sql() -> dict[str, str]:
         f" {year_ms} AS time_ms FROM stats"
         for f, e in columns.items()
     ]
+    zone_months = f"""zone_months AS (
+        SELECT {ZONE}, strftime(t, '%Y-%m') AS {YEAR_MONTH}, round(avg({CI}), 8) AS {AVG_CI},
+               round(avg({CFE}), 8) AS {AVG_CFE}
+        FROM readings GROUP BY ALL)"""
+    zone_lists = " UNION ALL ".join(
+        f"""SELECT {ZONE}, '{m}_{way}' AS ranking, {ROUNDED}, CAST(row_number() OVER (PARTITION BY {ZONE}
+            ORDER BY avg_{m} {order}, {YEAR_MONTH}) AS INTEGER) AS place FROM zone_months"""
+        for m in METRICS
+        for way, order in (("desc", "DESC NULLS LAST"), ("asc", "ASC NULLS FIRST"))
+    )
+    share = f"CAST(round({CFE}) AS INTEGER)"
     runs = """runs AS (
         SELECT epoch_ms(date_trunc('month', t)) AS start_ms, count(*) AS duration_ms
         FROM readings GROUP BY ALL)"""
@@ -633,6 +732,21 @@ def oracle_sql() -> dict[str, str]:
         "zone_year_point_lines": lines,
         "point_line_files": lines,
         "point_writer": _points(whole_fields, STATS, tags, year_ms, "stats"),
+        "point_source_lines": lines,
+        "point_source_commits": f"""WITH {R}, {STATS}
+            SELECT count(*) AS committed, count(*) AS sent FROM stats
+            UNION ALL SELECT count(*), count(*) FROM stats""",
+        "monthly_report_published": f"""WITH {R}, {MONTHS}
+            SELECT name AS ranking, n_rows, n_rows AS n_read FROM ({sizes})""",
+        "report_sizes_observed": f"WITH {R}, {MONTHS} {sizes}",
+        "zone_extremes": f"WITH {R}, {zone_months} SELECT * FROM ({zone_lists}) WHERE place <= 5",
+        "zone_year_from_store": ZONE_YEAR,
+        "monthly_from_store": MONTHLY,
+        "split_good_readings": f"{SCAN} WHERE {share} NOT IN (3, 5, 7, 9)",
+        "split_bad_lines": f"""WITH {R}
+            SELECT CASE {share} WHEN 3 THEN '{CI}' WHEN 5 THEN 'fields' WHEN 7 THEN '{TIME}' ELSE '{CFE}' END AS reason,
+                   {ZONE}, count(*) AS n_rows
+            FROM readings WHERE {share} IN (3, 5, 7, 9) GROUP BY ALL""",
         **(llm.SQL if llm else {}),
         **({"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {}),
     }

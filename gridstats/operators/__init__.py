@@ -6,7 +6,14 @@ from gridstats.operators.points import (
     to_points,
     zone_year_points,
 )
-from gridstats.operators.ranking import RANKINGS, monthly_extremes, monthly_rankings, top_k
+from gridstats.operators.ranking import (
+    RANKINGS,
+    monthly_extremes,
+    monthly_rankings,
+    top_k,
+    top_k_per_key,
+    zone_extremes,
+)
 from gridstats.operators.stats import (
     finish_averages,
     join_stats,
@@ -34,6 +41,8 @@ __all__ = [
     "time_column",
     "to_points",
     "top_k",
+    "top_k_per_key",
     "with_period",
+    "zone_extremes",
     "zone_year_points",
 ]

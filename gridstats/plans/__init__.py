@@ -11,6 +11,13 @@ from gridstats.plans.sqlforms import (
     top_k_sql,
     zone_year_stats_sql,
 )
+from gridstats.plans.store import (
+    forget_days,
+    monthly_from_store,
+    read_days,
+    store_days,
+    zone_year_from_store,
+)
 from gridstats.plans.zone_year import (
     zone_year_keyed,
     zone_year_stats,
@@ -20,14 +27,19 @@ from gridstats.plans.zone_year import (
 
 __all__ = [
     "MonthlyReport",
+    "forget_days",
     "monthly_averages",
     "monthly_averages_merged",
     "monthly_averages_sql",
+    "monthly_from_store",
     "monthly_rankings_sql",
     "monthly_report",
+    "read_days",
     "save_monthly_report",
     "save_zone_year_report",
+    "store_days",
     "top_k_sql",
+    "zone_year_from_store",
     "zone_year_keyed",
     "zone_year_stats",
     "zone_year_stats_joined",

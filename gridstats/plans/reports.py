@@ -13,6 +13,7 @@ from gridstats.operators.ranking import monthly_rankings
 from gridstats.schema import AVERAGES_FOLDER, COUNTRY, RANKING_FOLDERS, TOP_K, YEAR
 from gridstats.shared import kept, new_folder, remove_folder
 from gridstats.sinks.csv import require_absent, write_csv, write_monthly_report
+from gridstats.sinks.publish import publication
 from gridstats.sinks.points import PointWriter, write_points
 
 
@@ -59,17 +60,26 @@ def save_monthly_report(
     k: int = TOP_K,
     header: bool = True,
     fields: Mapping[str, str] | None = None,
-) -> None:
+    manifest: bool = False,
+) -> dict[str, int]:
     """Write monthly averages and the four rankings under ``path`` and, given a writer, as points.
 
-    ``fields`` as for ``monthly_points``. What is kept in the shared folder meanwhile is removed.
+    The five folders are written aside and appear together at the end, after the points are delivered; if
+    any job fails none of them is there, and the report can be written again. ``manifest`` adds
+    ``_manifest.json``, last of all (see ``read_manifest``). ``fields`` as for ``monthly_points``. What is
+    kept in the shared folder meanwhile is removed. Gives the rows of each result, as they were written.
     """
-    folders = [AVERAGES_FOLDER, *RANKING_FOLDERS.values()]
-    require_absent(averages.sparkSession, *[f"{path}/{folder}" for folder in folders])
-    with _once(averages, "averages") as once:
-        if writer_factory is not None:
-            write_points(monthly_points(once, app, fields), writer_factory)
-        write_monthly_report(once, monthly_rankings(once, k), path, header)
+    folders = {"averages": AVERAGES_FOLDER, **RANKING_FOLDERS}
+    listed: dict[str, int] | None = {} if manifest else None
+    with publication(averages.sparkSession, path, list(folders.values()), listed) as staging:
+        with _once(averages, "averages") as once:
+            points = None if writer_factory is None else monthly_points(once, app, fields)
+            sizes = write_monthly_report(once, monthly_rankings(once, k), staging, header)
+            if listed is not None:
+                listed.update({folders[name]: n for name, n in sizes.items()})
+            if points is not None:
+                write_points(points, writer_factory)
+    return sizes
 
 
 @contextmanager

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridstats.operators.periods import with_period
-from gridstats.operators.stats import finish_averages, join_stats, period_stats
+from gridstats.operators.stats import finish_averages, period_stats
 from gridstats.schema import COUNTRY, METRICS, TIME, YEAR, ZONE
-from gridstats.shared import kept
+from gridstats.shared import BUCKET_KEY, kept_in_buckets
 
 KEYS = (COUNTRY, YEAR)
 
@@ -67,16 +67,17 @@ def zone_year_stats_joined(
     """The same as averages, minima and maxima that are made apart and joined on zone and year.
 
     The input is scanned once, when this is called, for partials that are kept in the shared folder; three
-    separate aggregates over the readings would scan it three times, since each needs other columns.
+    separate aggregates over the readings would scan it three times, since each needs other columns. The
+    partials lie in buckets of their keys, so that the joins move no row between tasks.
     """
     keyed = zone_year_keyed(df, time, zone, metrics, on_bad_time)
     partials = period_stats(keyed, KEYS, metrics, ("sum", "count", "min", "max"))
-    partials = kept(partials, "partials")
+    partials = kept_in_buckets(partials, KEYS)
 
     def part(*stats: str) -> DataFrame:
-        return partials.select(*KEYS, *[f"{s}_{m}" for m in metrics for s in stats])
+        return partials.select(BUCKET_KEY, *[f"{s}_{m}" for m in metrics for s in stats])
 
-    averages = finish_averages(part("sum", "count"), metrics)
-    joined = join_stats([averages, part("min"), part("max")], KEYS)
+    averages = finish_averages(partials.select(BUCKET_KEY, *KEYS, *[f"{s}_{m}" for m in metrics for s in ("sum", "count")]), metrics)
+    joined = averages.join(part("min"), BUCKET_KEY).join(part("max"), BUCKET_KEY)
     result = joined.select(*KEYS, *[f"{s}_{m}" for m in metrics for s in ("avg", "min", "max")])
     return result.orderBy(*KEYS) if sort else result

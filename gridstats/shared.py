@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
@@ -42,3 +44,22 @@ def kept(df: DataFrame, name: str = "table", path: str | None = None) -> DataFra
     path = path or new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BUCKET_KEY = "_key"
+
+
+def kept_in_buckets(df: DataFrame, keys: Sequence[str], buckets: int = 8, name: str = "buckets") -> DataFrame:
+    """``df`` computed once into a table whose files are bucketed and sorted by its keys.
+
+    The table has a column ``_key`` more, a text in which null is a value of its own: a join on equal keys
+    goes by plain equality, so Spark sees that both sides lie as the join needs them. The table's name is
+    known to this session only; its files are in the shared folder.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    table = path.rpartition("/")[2].replace("-", "_")
+    key = F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]))
+    written = df.withColumn(BUCKET_KEY, key).write.format("parquet").option("path", path)
+    written.bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(table)
+    return spark.table(table)

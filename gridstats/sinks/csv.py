@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from gridstats.schema import AVERAGES_FOLDER, RANKING_FOLDERS, YEAR_MONTH, ZONE
 
@@ -41,12 +42,19 @@ def write_monthly_report(
     path: str,
     header: bool = True,
     mode: str = "errorifexists",
-) -> None:
+) -> dict[str, int]:
     """Write the averages in month order, without the zone, and each ranking beside them.
 
-    Five jobs read ``averages``; see ``plans.reports.monthly_report``, which computes them once.
+    Five jobs read ``averages``; see ``plans.reports.monthly_report``, which computes them once. Gives the
+    rows that each result had, ``averages`` and the names of the rankings: they are observed as they are
+    written, so no result is computed to be counted.
     """
     plot = averages.drop(ZONE).orderBy(YEAR_MONTH)
-    write_csv(plot, f"{path}/{AVERAGES_FOLDER}", header, mode)
-    for name, ranking in rankings.items():
-        write_csv(ranking, f"{path}/{RANKING_FOLDERS[name]}", header, mode)
+    folders = {"averages": AVERAGES_FOLDER, **RANKING_FOLDERS}
+    sizes = {}
+    for name, result in {"averages": plot, **rankings}.items():
+        seen = Observation()
+        counted = result.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+        write_csv(counted, f"{path}/{folders[name]}", header, mode)
+        sizes[name] = seen.get["n_rows"]
+    return sizes

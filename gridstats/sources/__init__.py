@@ -1,3 +1,3 @@
-from gridstats.sources.readings import read_readings, register
+from gridstats.sources.readings import read_readings, register, split_readings
 
-__all__ = ["read_readings", "register"]
+__all__ = ["read_readings", "register", "split_readings"]
