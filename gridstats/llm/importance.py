@@ -251,6 +251,8 @@ def importance_ranks(
     named = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_source"), *carried)
     weighed = model.weigh(named, "_source", ["_doc", *carried])
     scored = weighed.withColumn("score", F.col("weight") + gumbel(F.col("_doc"), seed))
+    # Kept first: finding the ranges would weigh every text once more.
+    scored = kept(scored, "scores")
     order = [F.col("_unfit"), F.col("score").desc(), F.col("_doc").asc_nulls_last()]
     rows = _ranked(scored.withColumn("_unfit", F.col("n_words") < min_words), order)
     able = rows.agg(F.count_if(~F.col("_unfit"))).first()[0]
