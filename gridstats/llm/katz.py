@@ -1,15 +1,16 @@
-"""Katz backoff language model of words, two at a time.
+"""Katz backoff language model of words, of any order.
 
 Counts are Good-Turing discounted; what discounts free goes to unseen followers of a context in proportion
-to their own probability, with weights that make every distribution sum to one. Words travel as 64-bit
-hashes. All that concerns a word as follower meets in the bucket of its hash: counts of the pairs it ends,
-its own count, and with them the terms of every text that holds it. What a context owes to all its followers
-is then summed in the bucket of the context.
+to their probability after the context without its first word, with weights that make every distribution
+sum to one. Words and contexts travel as 64-bit hashes. Texts are gathered in runs of some megabytes, and a
+run asks once for each n-gram it has: the n-grams of one order meet in buckets of their contexts, where
+counts of all runs are summed and each run gets its answers, order after order. Contexts that are frequent
+are parted by follower. A run then scores its texts token by token, from the highest order down.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,15 +18,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridstats.llm.repeats import Rolling, _cuts, _numbers, _small
-from gridstats.shared import kept, new_folder
+from gridstats.llm.repeats import Rolling, _cuts
+from gridstats.llm.runs import runs
+from gridstats.shared import new_folder
 
 _U = np.uint64
 START, END = _U(0x5354415254), _U(0x454E44)
 TOP = 5  # counts above are taken as they are, but for _FLOOR
 _FLOOR = 1e-3  # left by each such count, so that every context has something for unseen followers
-_FLUSH_BYTES = 12 << 20
-_ENTRIES = 1 << 20  # of a bucket at a time
+_RUN_CHARS = 8 << 20
+_FREQUENT = 1 << 18  # times from which on a context is parted by follower
 
 
 def word_hashes(text: str | None, roll: Rolling, blank: np.ndarray) -> np.ndarray:
@@ -61,283 +63,338 @@ def discounts(seen: list[int]) -> np.ndarray:
     return (r - less) / r
 
 
+def _classes(counts: np.ndarray) -> list[int]:
+    """How many have counts 1 to TOP + 1, and how many above TOP."""
+    return [*np.bincount(np.minimum(counts, TOP + 2), minlength=TOP + 2)[1 : TOP + 2].tolist(), int((counts > TOP).sum())]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers with a byte in front that tells their width."""
+    most = int(values.max()) if len(values) else 0
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
+def _planes(ids: np.ndarray) -> bytes:
+    """Numbers as one plane for each byte; the higher planes of numbers that are mostly small pack well."""
+    width = max(1, (int(ids.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    return sum(p.astype(np.int64) << (8 * i) for i, p in enumerate(planes))
+
+
+def _joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a context and the word after it."""
+    h = (context * _U(0x9E3779B97F4A7C15) + word) * _U(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> _U(32))) * _U(0xBF58476D1CE4E5B9)
+    return h ^ (h >> _U(29))
+
+
+EMPTY = np.zeros(1, _U)
+
+
+def _all_start(order: int) -> np.ndarray:
+    """The context of the first word of a text."""
+    context = EMPTY
+    for _ in range(order - 1):
+        context = _joined(context, np.array([START]))
+    return context
+
+
 @dataclass(frozen=True)
-class Unigrams:
+class Level:
+    """What is known of an order once its n-grams are counted."""
+
+    seen: tuple[int, ...]  # n-grams with counts 1 to TOP + 1, and above TOP
     tokens: int
     words: int
-    seen: tuple[int, ...]  # words with counts 1 to TOP + 1, and above TOP
+    frequent: np.ndarray  # contexts of the next order that are parted by follower, sorted
+    parted: dict[int, tuple]  # contexts of this order that were: total, classes of followers, probability
 
     def discounted(self, counts: np.ndarray) -> np.ndarray:
-        """Counts after discounting; 0 stands for all unknown words together."""
         d = np.r_[0.0, discounts(list(self.seen)) * np.arange(1, TOP + 1)]
-        given = np.where(counts <= TOP, d[np.minimum(counts, TOP)], counts - _FLOOR)
-        n = np.array(self.seen)
-        freed = ((np.arange(1, TOP + 1) - d[1:]) * n[:TOP]).sum() + _FLOOR * n[-1]
-        return np.where(counts > 0, given, freed if self.tokens else 1.0)
+        return np.where(counts <= TOP, d[np.minimum(counts, TOP)], counts - _FLOOR)
+
+    def freed(self) -> np.ndarray:
+        """By how much a follower of each class is lowered."""
+        return np.r_[np.arange(1, TOP + 1) * (1 - discounts(list(self.seen))), _FLOOR]
+
+
+@dataclass
+class Run:
+    """Texts of a run: vocabulary, tokens, and where each text begins."""
+
+    words: np.ndarray
+    tokens: np.ndarray
+    starts: np.ndarray
+    train: np.ndarray  # of each token
+
+    @classmethod
+    def of(cls, row) -> Run:
+        lengths = _numbers(row.lengths)
+        train = np.array([d["train"] for d in row.docs], bool)
+        starts = np.cumsum(lengths) - lengths
+        return cls(np.frombuffer(row.words, _U), _from_planes(row.tokens), starts, np.repeat(train, lengths))
+
+    def contexts(self, order: int) -> np.ndarray:
+        """Hash of the ``order - 1`` words before each token."""
+        context, word = np.broadcast_to(EMPTY, len(self.tokens)), self.words[self.tokens]
+        for n in range(1, order):
+            longer = np.empty(len(word), _U)
+            longer[1:] = _joined(context[:-1], word[:-1])
+            longer[self.starts] = _all_start(n + 1)[0]
+            context = longer
+        return context
+
+
+@dataclass
+class Entries:
+    """The distinct n-grams of a run in the order in which they travel."""
+
+    of_token: np.ndarray
+    context: np.ndarray
+    word: np.ndarray
+    bucket: np.ndarray
+    first: np.ndarray  # a token of each
+
+    @classmethod
+    def of(cls, run: Run, order: int, frequent: np.ndarray, buckets: int) -> Entries:
+        context, word = run.contexts(order), run.words[run.tokens]
+        _, first, at = np.unique(_joined(context, word), return_index=True, return_inverse=True)
+        context, word = context[first], word[first]
+        bucket = _buckets(context, word, order, frequent, buckets)
+        by = np.lexsort((context, bucket))
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        return cls(place[at], context[by], word[by], bucket[by], first[by])
+
+
+def _is_in(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    if not len(of):
+        return np.zeros(len(values), bool)
+    return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values
+
+
+def _buckets(context: np.ndarray, word: np.ndarray, order: int, frequent: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets go by context, and by follower too where the context is frequent or empty."""
+    parted = _is_in(context, frequent) if order > 1 else np.ones(len(context), bool)
+    return (_joined(context, np.where(parted, word, _U(0))) % _U(buckets)).astype(np.int64)
+
+
+_PART = (
+    "bucket long, run long, contexts binary, followers binary, words binary, counts binary, times binary,"
+    " shorter binary, shorter_totals binary"
+)
+_COUNTED = (
+    "kind string, run long, bucket long, counts binary, totals binary, open binary, classes binary,"
+    " owed binary, contexts binary, n long, distinct long"
+)
+
 
-    def log_base(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 1) / (self.tokens + self.words + 1))
+def _asked(run: Run, number: int, order: int, known: _Answers | None, levels: Sequence[Level], buckets: int) -> pd.DataFrame:
+    """The n-grams of a run, a row for each bucket."""
+    e = Entries.of(run, order, levels[-1].frequent if levels else EMPTY[:0], buckets)
+    n = np.bincount(e.of_token, run.train, len(e.first)).astype(np.int64)
+    times = np.bincount(e.of_token, minlength=len(e.first))
+    shorter = known.counts(order - 1)[e.first] if known else np.zeros(len(n), np.int64)
+    totals = known.totals(order - 1)[e.first] if known else np.zeros(len(n), np.int64)
+    rows = []
+    for s, end in zip(*_cuts(e.bucket)):
+        c, c_end = _cuts(e.context[s:end])
+        rows.append(
+            (
+                int(e.bucket[s]), number, e.context[s:end][c].tobytes(), _packed(c_end - c), e.word[s:end].tobytes(),
+                _packed(n[s:end]), _packed(times[s:end]), _packed(shorter[s:end]), _packed(totals[s:end][c]),
+            )
+        )
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in _PART.split(", ")])
+
+
+def _counted(parts: pd.DataFrame, order: int, frequent: np.ndarray, lower: Level | None) -> pd.DataFrame:
+    """All runs' n-grams of one bucket: answers to each run, classes of counts, frequent n-grams."""
+    followers = [_numbers(f) for f in parts["followers"]]
+    contexts = [np.frombuffer(c, _U) for c in parts["contexts"]]
+    context = np.concatenate([np.repeat(c, f) for c, f in zip(contexts, followers)])
+    word = np.concatenate([np.frombuffer(w, _U) for w in parts["words"]])
+    gram, first, at = np.unique(_joined(context, word), return_index=True, return_inverse=True)
+    counts = np.bincount(at, np.concatenate([_numbers(c) for c in parts["counts"]]), len(gram)).astype(np.int64)
+    times = np.bincount(at, np.concatenate([_numbers(c) for c in parts["times"]]), len(gram)).astype(np.int64)
+    of, inside = np.unique(context[first], return_inverse=True)
+    total = np.bincount(inside, counts, len(of)).astype(np.int64)
+    kinds = np.minimum(counts, TOP + 1)
+    classes = np.stack([np.bincount(inside, kinds == r, len(of)) for r in range(1, TOP + 2)]).astype(np.int64)
+    owed = np.zeros(len(of))
+    if lower is not None:
+        shorter = np.concatenate([_numbers(c) for c in parts["shorter"]])[first]
+        below = np.concatenate([np.repeat(_numbers(t), f) for t, f in zip(parts["shorter_totals"], followers)])[first]
+        p = np.where(counts > 0, lower.discounted(shorter) / np.maximum(below, 1), 0.0)
+        owed = np.bincount(inside, p, len(of))
+    rows, entry, place = [], 0, np.searchsorted(of, np.concatenate(contexts))
+    context_at = 0
+    for run, f in zip(parts["run"], followers):
+        mine, entry = counts[at[entry : entry + f.sum()]], entry + int(f.sum())
+        own, context_at = place[context_at : context_at + len(f)], context_at + len(f)
+        unseen = np.add.reduceat(mine == 0, np.cumsum(f) - f) > 0 if order > 1 else np.zeros(len(f), bool)
+        open_ = own[unseen & (total[own] > 0)]
+        rows.append(
+            {
+                "kind": "answer", "run": run, "bucket": int(parts["bucket"].iloc[0]), "counts": _packed(mine),
+                "totals": _packed(total[own]), "open": np.packbits(unseen & (total[own] > 0)).tobytes(),
+                "classes": _packed(classes[:, open_].ravel()), "owed": owed[open_].tobytes(),
+            }
+        )
+    rows.append(
+        {"kind": "classes", "n": int(counts.sum()), "distinct": int((counts > 0).sum()), "classes": _packed(np.array(_classes(counts)))}
+    )
+    often = gram[times >= _FREQUENT]
+    if len(often):
+        rows.append({"kind": "frequent", "contexts": often.tobytes()})
+    parted = np.flatnonzero(_is_in(of, frequent))
+    if order > 1 and len(parted):
+        rows.append(
+            {
+                "kind": "parted", "contexts": of[parted].tobytes(), "totals": _packed(total[parted]),
+                "classes": _packed(classes[:, parted].ravel()), "owed": owed[parted].tobytes(),
+            }
+        )
+    made = pd.DataFrame(rows).reindex(columns=[c.split()[0] for c in _COUNTED.split(", ")])
+    made[["run", "bucket", "n", "distinct"]] = made[["run", "bucket", "n", "distinct"]].astype("Int64")
+    return made.astype({c: object for c in ("counts", "totals", "open", "classes", "owed", "contexts")}).where(made.notna(), None)
+
+
+class _Answers:
+    """Counts, totals and weights of the n-grams at each token of a run."""
+
+    def __init__(self, run: Run, rows: pd.DataFrame, levels: Sequence[Level], buckets: int):
+        self.levels, self._counts, self._totals, self._weights = levels, {}, {}, {}
+        for order, own in rows.groupby("level"):
+            before = levels[order - 2].frequent if order > 1 else EMPTY[:0]
+            e = Entries.of(run, order, before, buckets)
+            starts, ends = _cuts(e.bucket)
+            by_bucket = own.set_index("bucket")
+            counts, totals = np.zeros(len(e.first), np.int64), np.zeros(len(e.first), np.int64)
+            weights = np.zeros(len(e.first))
+            freed = levels[order - 1].freed()
+            for s, end in zip(starts, ends):
+                row = by_bucket.loc[int(e.bucket[s])]
+                counts[s:end] = _numbers(row.counts)
+                c, c_end = _cuts(e.context[s:end])
+                total = _numbers(row.totals)
+                weight = np.zeros(len(c))
+                open_ = np.unpackbits(np.frombuffer(row.open, np.uint8), count=len(c)).astype(bool)
+                if open_.any():
+                    free = freed @ _numbers(row.classes).reshape(TOP + 1, -1)
+                    weight[open_] = _log_weight(free, total[open_], np.frombuffer(row.owed))
+                totals[s:end], weights[s:end] = np.repeat(total, c_end - c), np.repeat(weight, c_end - c)
+            if order > 1:
+                for context, (total, classes, owed) in levels[order - 1].parted.items():
+                    here = e.context == _U(context)
+                    if here.any() and total:
+                        totals[here] = total
+                        weights[here] = _log_weight(freed @ classes, np.array([total]), np.array([owed]))[0]
+            self._counts[order], self._totals[order] = counts[e.of_token], totals[e.of_token]
+            self._weights[order] = weights[e.of_token]
+
+    def counts(self, order: int) -> np.ndarray:
+        return self._counts[order]
+
+    def totals(self, order: int) -> np.ndarray:
+        if order == 1:
+            return np.full(len(self._counts[1]), self.levels[0].tokens)
+        return self._totals[order]
+
+    def log10(self, order: int) -> np.ndarray:
+        """Log10 of the probability of each token: by its count, or by the weight and a shorter context."""
+        first = self.levels[0]
+        unknown = 1.0 if not first.tokens else (first.freed() @ np.array([*first.seen[:TOP], first.seen[-1]])) / first.tokens
+        c = self._counts[1]
+        found = np.log10(np.where(c > 0, first.discounted(c) / max(1, first.tokens), unknown))
+        for k in range(2, order + 1):
+            c, total = self._counts[k], np.maximum(self._totals[k], 1)
+            own = np.log10(np.maximum(self.levels[k - 1].discounted(c), 1e-300) / total)
+            found = np.where(c > 0, own, self._weights[k] + found)
+        return found
+
+
+def _log_weight(freed: np.ndarray, total: np.ndarray, owed: np.ndarray) -> np.ndarray:
+    """Log10 of what a context's discounts leave, shared out over what its followers leave one order below."""
+    return np.log10(freed / total / (1 - owed))
+
+
+def _run_table(docs: DataFrame, n_buckets: int) -> DataFrame:
+    """Runs of texts as vocabulary and tokens, in files bucketed by run, so that no run is shuffled."""
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        roll, blank = Rolling(3), _blanks()
+        for number, rows in runs(batches, "text", _RUN_CHARS):
+            own = [word_hashes(t, roll, blank) for t in rows["text"]]
+            words, at, n = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+            by = np.argsort(-n, kind="stable")  # frequent words get small numbers
+            place = np.empty(len(by), np.int64)
+            place[by] = np.arange(len(by))
+            row = (number, list(rows["doc"]), _packed(np.array([len(w) for w in own])), words[by].tobytes(), _planes(place[at]))
+            yield pd.DataFrame([row], columns=["run", "docs", "lengths", "words", "tokens"])
+
+    doc = docs.schema["doc"].dataType.simpleString()
+    made = docs.mapInPandas(gather, f"run long, docs array<{doc}>, lengths binary, words binary, tokens binary")
+    path = new_folder(docs.sparkSession, "katz")
+    name = path.rpartition("/")[2].replace("-", "_")
+    writer = made.write.format("parquet").option("path", f"{path}/runs").option("compression", "zstd")
+    writer.bucketBy(n_buckets, "run").saveAsTable(name)
+    return docs.sparkSession.table(name)
 
-    def probability(self, counts: np.ndarray) -> np.ndarray:
-        return self.discounted(counts) / max(1, self.tokens)
 
+def _ask_first(buckets: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for own in batch.itertuples(index=False):
+                yield _asked(Run.of(own), own.run, 1, None, [], buckets)
 
-def _classes(counts: np.ndarray) -> list[int]:
-    """How many have counts 1 to TOP + 1, and how many above TOP."""
-    return [*np.bincount(np.minimum(counts, TOP + 2), minlength=TOP + 2)[1 : TOP + 2].tolist(), int((counts > TOP).sum())]
+    return ask
 
 
-def count_words(texts: DataFrame, buckets: int) -> Unigrams:
-    """Word counts of all training texts of ``texts (text, train)``."""
+def _ask(order: int, levels: tuple[Level, ...], buckets: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    def ask(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        row = next(own.itertuples(index=False))
+        run = Run.of(row)
+        return _asked(run, row.run, order, _Answers(run, rows, levels, buckets), levels, buckets)
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        roll, blank = Rolling(3), _blanks()
-        found, size = [], 0
-
-        def flush() -> pd.DataFrame:
-            words, n = np.unique(np.concatenate(found), return_counts=True)
-            bucket = (words % _U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            rows = [
-                (int(bucket[order[s]]), words[order[s:e]].tobytes(), _small(n[order[s:e]]))
-                for s, e in zip(*_cuts(bucket[order]))
-            ]
-            return pd.DataFrame(rows, columns=["bucket", "words", "counts"])
+    return ask
 
-        for batch in batches:
-            for text in batch["text"][batch["train"]]:
-                found.append(word_hashes(text, roll, blank))
-                size += len(text or "")
-                if size > _FLUSH_BYTES:
-                    yield flush()
-                    found, size = [], 0
-        if found:
-            yield flush()
-
-    def total(parts: pd.DataFrame) -> pd.DataFrame:
-        words = np.concatenate([np.frombuffer(w, np.uint64) for w in parts["words"]])
-        n = np.concatenate([_numbers(c) for c in parts["counts"]])
-        order = np.argsort(words, kind="stable")
-        starts, _ = _cuts(words[order])
-        sums = np.add.reduceat(n[order], starts)
-        return pd.DataFrame([[int(sums.sum()), len(sums), *_classes(sums)]], columns=names)
-
-    names = ["tokens", "words", *[f"n{r}" for r in range(1, TOP + 2)], "more"]
-    shape = ", ".join(f"{n} long" for n in names)
-    parts = texts.mapInPandas(deal, "bucket long, words binary, counts binary")
-    each = parts.groupBy("bucket").applyInPandas(total, shape)
-    row = each.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
-    return Unigrams(row["tokens"], row["words"], tuple(row[n] for n in names[2:]))
-
-
-def _pairs(texts: DataFrame, buckets: int) -> DataFrame:
-    """Pairs of each run of texts by the bucket of the follower, as arrays: the words and how many
-    contexts each has, the contexts and in how many texts each pair is, those texts and how often."""
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        roll, blank = Rolling(3), _blanks()
-        own, ids, train, size = [], [], [], 0
-
-        def flush() -> pd.DataFrame:
-            lengths = [len(w) for w in own]
-            words = np.concatenate(own)
-            context = np.r_[START, words[:-1]]
-            context[np.r_[0, np.cumsum(lengths)[:-1]]] = START
-            text = np.repeat(np.arange(len(own)), lengths)
-            vocabulary, at = np.unique(np.append(words, START), return_inverse=True)
-            before = np.r_[at[-1], at[:-2]]
-            before[np.r_[0, np.cumsum(lengths)[:-1]]] = at[-1]
-            at = at[:-1]
-            place = np.empty(len(vocabulary), np.int64)  # of words, by bucket
-            bucket = (vocabulary % _U(buckets)).astype(np.int64)
-            place[np.argsort(bucket, kind="stable")] = np.arange(len(vocabulary))
-            by_place = np.argsort(place)
-            code = place[at] << 32 | before
-            order = np.argsort(code, kind="stable")
-            code, text = code[order], text[order]
-            # One entry for each pair and text, one for each pair, one for each word.
-            entry = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (text[1:] != text[:-1])])
-            times = np.diff(np.r_[entry, len(code)])
-            pair = np.flatnonzero(np.r_[True, code[entry][1:] != code[entry][:-1]])
-            in_texts = np.diff(np.r_[pair, len(entry)])
-            code = code[entry[pair]]
-            word = np.flatnonzero(np.r_[True, (code[1:] >> 32) != (code[:-1] >> 32)])
-            contexts = np.diff(np.r_[word, len(code)])
-            which = by_place[code[word] >> 32]
-            cuts = _cuts(bucket[which])
-            pair_ends, entry_ends = np.r_[word, len(code)], np.r_[pair, len(entry)]
-            rows = []
-            flags = np.array(train)
-            for s, e in zip(*cuts):
-                p = slice(pair_ends[s], pair_ends[e])
-                t = slice(entry_ends[p.start], entry_ends[p.stop])
-                mine, local = np.unique(text[entry[t]], return_inverse=True)  # texts with an entry here
-                rows.append(
-                    (
-                        int(bucket[which[s]]),
-                        b"".join(ids[i] for i in mine),
-                        np.packbits(flags[mine]).tobytes(),
-                        vocabulary[which[s:e]].tobytes(),
-                        _small(contexts[s:e]),
-                        vocabulary[code[p] & 0xFFFFFFFF].tobytes(),
-                        _small(in_texts[p]),
-                        _small(local),
-                        _small(times[t]),
-                    )
-                )
-            return pd.DataFrame(rows, columns=columns)
 
-        for batch in batches:
-            for text_id, text, is_train in zip(batch["text_id"], batch["text"], batch["train"]):
-                own.append(word_hashes(text, roll, blank))
-                ids.append(bytes(text_id))
-                train.append(is_train)
-                size += 40 + len(text or "")
-                if size > _FLUSH_BYTES:
-                    yield flush()
-                    own, ids, train, size = [], [], [], 0
-        if own:
-            yield flush()
-
-    columns = ["bucket", "ids", "train", "words", "contexts", "before", "in_texts", "texts", "times"]
-    shape = "bucket long, " + ", ".join(f"{c} binary" for c in columns[1:])
-    return texts.mapInPandas(deal, shape)
-
-
-_SUMS = ["n", "known", "base", "score", *[f"k{r}" for r in range(1, TOP + 1)]]
-_KINDS = (
-    "kind string, bucket long, text_id binary, n long, known long, base double, score double, "
-    + ", ".join(f"k{r} long" for r in range(1, TOP + 1))
-    + ", a binary, b binary, c binary, d binary"
-)
+def _count(order: int, levels: tuple[Level, ...]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def count(parts: pd.DataFrame) -> pd.DataFrame:
+        lower = levels[-1] if levels else None
+        return _counted(parts, order, lower.frequent if lower else EMPTY[:0], lower).assign(level=order)
 
+    return count
 
-def _met(parts: pd.DataFrame, unigrams: Unigrams, buckets: int) -> pd.DataFrame:
-    """All that one bucket of followers knows.
 
-    ``text``: per text the sums of its tokens here. ``count``: classes of the pairs' counts. ``owed``: per
-    context in a bucket, how many of its followers here have which count, and their probability.
-    ``open``: per context in a bucket, texts whose token followed it unseen.
-    """
-    ids, train, words, contexts, before, in_texts, texts, times = [], [], [], [], [], [], [], []
-    for row in parts.itertuples(index=False):
-        texts.append((_numbers(row.texts) + len(ids)).astype(np.int32))
-        new = [row.ids[i : i + 16] for i in range(0, len(row.ids), 16)]
-        train.append(np.unpackbits(np.frombuffer(row.train, np.uint8), count=len(new)).astype(bool))
-        ids += new
-        words.append(np.frombuffer(row.words, np.uint64))
-        contexts.append(_numbers(row.contexts).astype(np.int32))
-        before.append(np.frombuffer(row.before, np.uint64))
-        in_texts.append(_numbers(row.in_texts).astype(np.int32))
-        times.append(_numbers(row.times).astype(np.int32))
-    train, before, in_texts = np.concatenate(train), np.concatenate(before), np.concatenate(in_texts)
-    texts, times = np.concatenate(texts), np.concatenate(times)
-    vocabulary, word = np.unique(np.concatenate(words), return_inverse=True)
-    word = np.repeat(word.astype(np.int32), np.concatenate(contexts))  # of each pair
-    # Equal pairs of different runs.
-    order = np.lexsort((before, word))
-    fresh = np.r_[True, (word[order][1:] != word[order][:-1]) | (before[order][1:] != before[order][:-1])]
-    pair = np.empty(len(order), np.int32)
-    pair[order] = np.cumsum(fresh, dtype=np.int32) - 1
-    pair_word, pair_before = word[order[fresh]], before[order[fresh]]
-    del word, before, order, fresh
-    entry = np.repeat(pair, in_texts)
-    del pair, in_texts
-    pieces = [slice(i, i + _ENTRIES) for i in range(0, len(entry), _ENTRIES)]
-    counts = np.zeros(len(pair_word), np.int64)
-    for e in pieces:
-        np.add.at(counts, entry[e], times[e] * train[texts[e]])
-    word_counts = np.bincount(pair_word, counts, len(vocabulary)).astype(np.int64)
-
-    sums = np.zeros((len(_SUMS), len(ids)))
-    # As a context, a known word divides by its count; where its follower is unseen that is put right.
-    ends = vocabulary == END
-    per_word = np.where((word_counts > 0) & ~ends, np.log10(np.maximum(word_counts, 1)), 0.0)
-    log_base, log_own = unigrams.log_base(word_counts), np.log10(unigrams.probability(word_counts))
-    for e in pieces:
-        w, c, n = pair_word[entry[e]], counts[entry[e]], times[e]
-
-        def add(row: int, values: np.ndarray, e: slice = e) -> None:
-            sums[row] += np.bincount(texts[e], values, len(ids))
-
-        log_pair = np.log10(np.maximum(c, 1) - _FLOOR * (c > TOP))
-        add(0, n)
-        add(1, n * (word_counts[w] > 0))
-        add(2, n * log_base[w])
-        add(3, n * (np.where(c > 0, log_pair, log_own[w]) - per_word[w]))
-        for r in range(1, TOP + 1):
-            add(3 + r, n * (c == r))
-    distinct_ids, code = np.unique(np.array(ids, dtype=object), return_inverse=True)
-    of_text = {c: np.bincount(code, s, len(distinct_ids)) for c, s in zip(_SUMS, sums)}
-    made = pd.DataFrame({"kind": "text", "text_id": distinct_ids, **of_text})
-    made = made[made["n"] > 0]
-    for c in ("n", "known", *_SUMS[4:]):
-        made[c] = made[c].astype(np.int64)
-
-    known = counts > 0
-    classes = np.array(_classes(counts[known]))
-    count = {"kind": "count", "a": classes.astype("<i8").tobytes()}
-
-    rows = [count]
-    order = np.flatnonzero(known)
-    order = order[np.argsort(pair_before[order], kind="stable")]
-    u = pair_before[order]
-    starts, _ = _cuts(u)
-    if len(starts):
-        p = np.add.reduceat(unigrams.probability(word_counts)[pair_word[order]], starts)
-        c = np.minimum(counts[order], TOP + 1)
-        m = np.stack([np.add.reduceat((c == r).astype(np.int64), starts) for r in range(1, TOP + 2)])
-        u = u[starts]
-        bucket = (u % _U(buckets)).astype(np.int64)
-        by = np.argsort(bucket, kind="stable")
-        for s, e in zip(*_cuts(bucket[by])):
-            k = by[s:e]
-            owed = _small(m[:, k].ravel())
-            rows.append({"kind": "owed", "bucket": int(bucket[k[0]]), "a": u[k].tobytes(), "b": p[k].tobytes(), "c": owed})
-    some = np.flatnonzero((counts == 0)[entry])
-    if len(some):
-        u = pair_before[entry[some]]
-        bucket = (u % _U(buckets)).astype(np.int64)
-        by = np.argsort(bucket, kind="stable")
-        for s, e in zip(*_cuts(bucket[by])):
-            k = by[s:e]
-            mine, t = np.unique(code[texts[some[k]]], return_inverse=True)
-            rows.append(
-                {
-                    "kind": "open", "bucket": int(bucket[k[0]]), "a": u[k].tobytes(),
-                    "b": _small(t), "c": _small(times[some[k]]), "d": b"".join(distinct_ids[mine]),
-                }
-            )
-    columns = ["kind", "bucket", "text_id", *_SUMS, "a", "b", "c", "d"]
-    both = pd.concat([made, pd.DataFrame(rows)]).reindex(columns=columns)
-    whole = ["bucket", "n", "known", *_SUMS[4:]]
-    both[whole] = both[whole].astype("Int64")
-    return both.astype({c: object for c in ("text_id", "a", "b", "c", "d")}).where(both.notna(), None)
-
-
-def _weights(parts: pd.DataFrame, pair_discounts: np.ndarray) -> pd.DataFrame:
-    """Per text the logarithms of ``count * backoff weight`` of the contexts that were followed unseen."""
-    owed, asked = parts[parts["kind"] == "owed"], parts[parts["kind"] == "open"]
-    if not len(asked):
-        return pd.DataFrame({"text_id": [], "score": []})
-    freed_by = np.r_[np.arange(1, TOP + 1) * (1 - pair_discounts), _FLOOR]
-    u = np.concatenate([np.empty(0, np.uint64), *[np.frombuffer(a, np.uint64) for a in owed["a"]]])
-    p = np.concatenate([np.empty(0), *[np.frombuffer(b) for b in owed["b"]]])
-    freed = np.concatenate(
-        [np.empty(0), *[freed_by @ _numbers(c).reshape(TOP + 1, -1) for c in owed["c"]]]
-    )
-    contexts, at = np.unique(u, return_inverse=True)
-    p, freed = np.bincount(at, p, len(contexts)), np.bincount(at, freed, len(contexts))
-    weight = np.r_[np.log10(freed / (1 - p)), 0.0]  # the last: contexts never seen, which have weight 1
-    made = []
-    for row in asked.itertuples(index=False):
-        wanted = np.frombuffer(row.a, np.uint64)
-        near = np.minimum(np.searchsorted(contexts, wanted), max(0, len(contexts) - 1))
-        found = contexts[near] == wanted if len(contexts) else np.zeros(len(wanted), bool)
-        ids = [row.d[i : i + 16] for i in range(0, len(row.d), 16)]
-        add = weight[np.where(found, near, len(contexts))] * _numbers(row.c)
-        made.append(pd.DataFrame({"text_id": ids, "score": np.bincount(_numbers(row.b), add, len(ids))}))
-    return pd.concat(made)
+def _level(counted: DataFrame, order: int) -> Level:
+    """What the buckets of one order have found, as numbers for the driver: some for each bucket, and a few
+    for each frequent context, of which there are at most ``tokens / 2 ** 18``."""
+    seen, tokens, words = np.zeros(TOP + 2, np.int64), 0, 0
+    frequent, parted = [EMPTY[:0]], {}
+    for row in counted.where("kind != 'answer'").select("kind", "n", "distinct", "contexts", "totals", "classes", "owed").toLocalIterator():
+        if row.kind == "classes":
+            seen += _numbers(row["classes"])
+            tokens, words = tokens + row.n, words + row.distinct
+        elif row.kind == "frequent":
+            frequent.append(np.frombuffer(row.contexts, _U))
+        else:
+            classes = _numbers(row["classes"]).reshape(TOP + 1, -1).T
+            for c, t, m, p in zip(np.frombuffer(row.contexts, _U).tolist(), _numbers(row.totals).tolist(), classes, np.frombuffer(row.owed)):
+                old = parted.get(c, (0, np.zeros(TOP + 1, np.int64), 0.0))
+                parted[c] = (old[0] + t, old[1] + m, old[2] + float(p))
+    contexts = np.unique(np.concatenate([*frequent, _all_start(order + 1)]))
+    return Level(tuple(seen.tolist()), tokens, words, contexts, parted)
 
 
 def score_texts(
@@ -345,71 +402,72 @@ def score_texts(
     train: Column,
     doc_id: str = "doc_id",
     text: str = "text",
-    bucket_bytes: int = 48 << 20,
+    order: int = 2,
+    bucket_bytes: int = 16 << 20,
 ) -> DataFrame:
     """Per row: ``doc_id, train, n_tokens, n_known, train_tokens, base_score, score``.
 
     Tokens are the words of the text, parted by blanks and with A-Z lower-cased, and its end; a null text
-    is empty and has its end only. The model learns from the rows where ``train`` is true, null counting
-    as false; ``score`` is its log10 probability of the text, ``base_score`` that of words with one added
-    to each count. A word the model does not know has the probability of all unknown ones together.
-    Without any training rows all words are unknown and both scores are 0. Equal texts have equal scores
-    and are summed together.
+    is empty and has its end only. The model of n-grams up to ``order`` learns from the rows where ``train``
+    is true, null counting as false; ``score`` is its log10 probability of the text, ``base_score`` that of
+    words with one added to each count. A word the model does not know has the probability of all unknown
+    ones together. Without any training rows all words are unknown and both scores are 0. Equal texts have
+    equal scores; an empty table gives no rows; other columns are not read. A task holds a run of 8 MB of
+    text or a single longer one, or a bucket of about ``bucket_bytes`` of text, whatever the counts are.
     """
+    if order < 1:
+        raise ValueError("order must be at least 1")
     whole = F.coalesce(F.col(text), F.lit(""))
-    source = docs.select(
-        F.col(doc_id).alias("doc"),
-        F.coalesce(train, F.lit(False)).alias("train"),
-        F.unhex(F.md5(whole.cast("binary"))).alias("text_id"),
-        whole.alias("text"),
-    )
-    rows = kept(
-        source.select("doc", "train", "text_id", F.octet_length("text").cast("bigint").alias("size")), "texts"
-    )
-    volume, trained = rows.agg(F.sum("size"), F.count_if("train")).first()
-    buckets = max(8, -(-(volume or 0) // bucket_bytes))
-    unigrams = count_words(source.select("text", "train"), buckets)
-
-    def met(parts: pd.DataFrame) -> pd.DataFrame:
-        return _met(parts, unigrams, buckets)
-
-    path = new_folder(docs.sparkSession, "katz")
-    parts = _pairs(source.select("text_id", "text", "train"), buckets)
-    parts.groupBy("bucket").applyInPandas(met, _KINDS).write.partitionBy("kind").parquet(path)
-    known = docs.sparkSession.read.schema(_KINDS).parquet(path)
-    classes = known.where("kind = 'count'").select("a").collect()  # a row of a few numbers per bucket
-    seen = sum((np.frombuffer(r["a"], "<i8") for r in classes), np.zeros(TOP + 2, np.int64))
-    pair_discounts = discounts(seen.tolist())
-
-    def weights(parts: pd.DataFrame) -> pd.DataFrame:
-        return _weights(parts, pair_discounts)
-
-    asked = known.where("kind IN ('owed', 'open')").select("kind", "bucket", "a", "b", "c", "d")
-    put_right = asked.groupBy("bucket").applyInPandas(weights, "text_id binary, score double")
-    discounted = sum(
-        (F.col(f"k{r}") * float(np.log10(d)) for r, d in enumerate(pair_discounts, 1)), F.lit(0.0)
-    )
-    of_texts = known.where("kind = 'text'").select(
-        "text_id", "n", "known", "base", (F.col("score") + discounted).alias("score")
-    )
-    none = F.lit(0).cast("bigint")
-    put_right = put_right.select(
-        "text_id", none.alias("n"), none.alias("known"), F.lit(0.0).alias("base"), "score"
-    )
-    summed = of_texts.unionByName(put_right).groupBy(F.col("text_id").alias("of")).agg(
-        *[F.sum(c).alias(c) for c in ("n", "known", "base", "score")]
-    )
-    # What copies of a text have summed is as often there as the text is.
-    copies = rows.groupBy(F.col("text_id").alias("copied")).agg(F.count("*").alias("copies"))
-    each = summed.join(copies, F.col("of") == F.col("copied"))
-    joined = rows.join(each, F.col("text_id") == F.col("of"))
-    start = float(np.log10(trained)) if trained else 0.0
-    return joined.select(
-        F.col("doc").alias(doc_id),
-        "train",
-        (F.col("n") / F.col("copies")).cast("bigint").alias("n_tokens"),
-        (F.col("known") / F.col("copies")).cast("bigint").alias("n_known"),
-        F.lit(unigrams.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") / F.col("copies")).alias("base_score"),
-        (F.col("score") / F.col("copies") - start).alias("score"),
+    row = F.struct(F.col(doc_id).alias("doc"), F.coalesce(train, F.lit(False)).alias("train"))
+    source = docs.select(row.alias("doc"), whole.alias("text"))
+    volume = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(8, -(-volume // bucket_bytes))
+    run_table = _run_table(source, max(8, -(-volume // _RUN_CHARS)))
+    doc_type = source.schema["doc"].dataType["doc"].dataType.simpleString()
+    spark, levels, answers = docs.sparkSession, [], None
+    shape = f"level int, {_COUNTED}"
+    for k in range(1, order + 1):
+        if k == 1:
+            asked = run_table.mapInPandas(_ask_first(buckets), _PART)
+        else:
+            both = run_table.groupBy("run").cogroup(answers.groupBy("of_run"))
+            asked = both.applyInPandas(_ask(k, tuple(levels), buckets), _PART)
+        path = new_folder(spark, f"katz-{k}")
+        asked.groupBy("bucket").applyInPandas(_count(k, tuple(levels)), shape).write.partitionBy("kind").option("compression", "zstd").parquet(path)
+        counted = spark.read.schema(shape).parquet(path)
+        levels.append(_level(counted, k))
+        new = counted.where("kind = 'answer'").select(
+            F.col("run").alias("of_run"), "level", "bucket", "counts", "totals", "open", "classes", "owed"
+        )
+        answers = new if answers is None else answers.unionByName(new)
+    known = tuple(levels)
+
+    def score(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        row = next(own.itertuples(index=False))
+        run = Run.of(row)
+        got = _Answers(run, rows, known, buckets)
+        c, first = got.counts(1), known[0]
+        base = np.log10((c + 1) / (first.tokens + first.words + 1))
+        starts = run.starts
+        return pd.DataFrame(
+            {
+                "doc": list(row.docs),
+                "n_tokens": np.diff(np.r_[starts, len(run.tokens)]),
+                "n_known": np.add.reduceat((c > 0).astype(np.int64), starts),
+                "base_score": np.add.reduceat(base, starts),
+                "score": np.add.reduceat(got.log10(order), starts),
+            }
+        )
+
+    both = run_table.groupBy("run").cogroup(answers.groupBy("of_run"))
+    shape = f"doc struct<doc:{doc_type},train:boolean>, n_tokens long, n_known long, base_score double, score double"
+    scored = both.applyInPandas(score, shape)
+    return scored.select(
+        F.col("doc.doc").alias(doc_id),
+        F.col("doc.train").alias("train"),
+        "n_tokens",
+        "n_known",
+        F.lit(levels[0].tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
     )

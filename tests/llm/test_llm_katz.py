@@ -1,24 +1,110 @@
-"""What the buckets of the Katz model are sent."""
+"""Katz scores of any order against a plain recursive model, with frequent contexts, small runs and buckets."""
 
 from __future__ import annotations
 
+import math
+from collections import Counter, defaultdict
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from gridstats.llm import katz
-from gridstats.llm.repeats import _numbers
-
-
-def test_buckets_get_only_texts_with_an_entry_there(spark):
-    rows = [(i.to_bytes(16, "big"), f"word{i} other{i}", i % 3 == 0) for i in range(500)]
-    df = spark.createDataFrame(rows, "text_id binary, text string, train boolean").repartition(2)
-    buckets = 64
-    parts = katz._pairs(df, buckets).collect()
-    sent = 0
-    for r in parts:
-        ids = [bytes(r.ids[i : i + 16]) for i in range(0, len(r.ids), 16)]
-        texts = _numbers(bytes(r.texts))
-        assert set(texts.tolist()) == set(range(len(ids)))
-        train = np.unpackbits(np.frombuffer(r.train, np.uint8), count=len(ids)).astype(bool)
-        assert train.tolist() == [int.from_bytes(i, "big") % 3 == 0 for i in ids]
-        sent += len(ids)
-    assert len({r.bucket for r in parts}) == buckets and sent <= 3 * len(rows)
+
+END, START = 1, 0
+
+
+class Plain:
+    """Dictionaries of counts, and the recursion over orders as it is written in books."""
+
+    def __init__(self, texts, order):
+        self.order, self.followers = order, [defaultdict(Counter) for _ in range(order + 1)]
+        for words in texts:
+            line = [START] * (order - 1) + [*words, END]
+            for i in range(order - 1, len(line)):
+                for k in range(1, order + 1):
+                    self.followers[k][tuple(line[i - k + 1 : i])][line[i]] += 1
+        self.given = [None]
+        for k in range(1, order + 1):
+            of = Counter(c for f in self.followers[k].values() for c in f.values())
+            d = katz.discounts([of[r] for r in range(1, 7)])
+            self.given.append(lambda c, d=d: d[c - 1] * c if c <= 5 else c - 1e-3)
+        self.one = self.followers[1][()]
+        self.n = sum(self.one.values())
+        self.unknown = 1 - sum(self.given[1](c) for c in self.one.values()) / self.n
+        self.weights = {}
+
+    def p(self, context, word):
+        k = len(context) + 1
+        if k == 1:
+            c = self.one[word]
+            return self.given[1](c) / self.n if c else self.unknown
+        f = self.followers[k].get(context)
+        if f is None:
+            return self.p(context[1:], word)
+        total = sum(f.values())
+        if f[word]:
+            return self.given[k](f[word]) / total
+        if context not in self.weights:
+            left = 1 - sum(self.given[k](c) for c in f.values() if c) / total
+            self.weights[context] = left / (1 - sum(self.p(context[1:], w) for w, c in f.items() if c))
+        return self.weights[context] * self.p(context[1:], word)
+
+    def unknown_after(self, context):
+        """Probability of all words never seen, after a context."""
+        return self.p(context, "never seen")
+
+    def score(self, words):
+        line = [START] * (self.order - 1) + [*words, END]
+        return sum(
+            math.log10(self.p(tuple(line[i - self.order + 1 : i]), line[i])) for i in range(self.order - 1, len(line))
+        )
+
+
+def corpus(seed, n=150):
+    rng = np.random.default_rng(seed)
+    words = np.array([f"w{i}" for i in range(60)])
+    share = 1 / np.arange(1, 61)
+    rows = []
+    for i in range(n):
+        text = list(rng.choice(words, rng.integers(0, 60), p=share / share.sum()))
+        if i % 9 == 0:
+            text += ["only", "here", f"once{i}"]
+        rows.append((i, " ".join(text)))
+    return [*rows, (1000, None), (1001, ""), (1002, " \n "), (1003, "w0 " * 5000), (None, "W1 w2"), (1004, rows[5][1])]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+@pytest.mark.parametrize("small", [False, True])
+def test_against_plain_model(spark, monkeypatch, order, small):
+    if small:  # runs of a few texts, contexts parted by follower, many buckets
+        monkeypatch.setattr(katz, "_RUN_CHARS", 900)
+        monkeypatch.setattr(katz, "_FREQUENT", 20)
+    rows = corpus(order)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, kind string, run long")
+    train = F.col("doc_id") % 3 != 1
+    options = {"bucket_bytes": 2000} if small else {}
+    got = katz.score_texts(df.repartition(3), train, order=order, **options).collect()
+    words = {i: (t or "").lower().split() for i, t in rows}
+    model = Plain([w for i, w in words.items() if i is not None and i % 3 != 1], order)
+    for context in [(START,) * (order - 1), ("w0",) * (order - 1), ("w0", "w1", "w2")[: order - 1]]:
+        assert abs(sum(model.p(context, w) for w in list(model.one)) + model.unknown_after(context) - 1) < 1e-9
+    assert len(got) == len(rows)
+    for r in got:
+        w = words[r.doc_id]
+        assert (r.train, r.n_tokens, r.train_tokens) == (r.doc_id is not None and r.doc_id % 3 != 1, len(w) + 1, model.n)
+        assert r.n_known == sum(model.one[x] > 0 for x in [*w, END])
+        assert math.isclose(r.score, model.score(w), rel_tol=1e-9), (r, model.score(w))
+
+
+def test_frequent_contexts_are_parted_by_follower():
+    context = np.array([7, 7, 7, 7, 9, 9], np.uint64)
+    word = np.array([1, 2, 3, 4, 5, 6], np.uint64)
+    apart = katz._buckets(context, word, 2, np.array([7], np.uint64), 1 << 40)
+    assert len(set(apart[:4])) == 4 and len(set(apart[4:])) == 1
+    assert len(set(katz._buckets(context * np.uint64(0), word, 1, katz.EMPTY[:0], 1 << 40))) == 6
+
+
+def test_planes_round_trip():
+    for values in ([0], [255, 3], [256, 0, 70_000], [2**33, 5]):
+        assert katz._from_planes(katz._planes(np.array(values))).tolist() == values
