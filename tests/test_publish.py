@@ -1,0 +1,123 @@
+"""Reports that appear as a whole, and the counts that come from their writes."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+import gridstats as gs
+from gridstats.schema import AVERAGES_FOLDER, RANKING_FOLDERS
+from gridstats.sinks import csv, publish
+
+from conftest import tuples
+
+FOLDERS = sorted([AVERAGES_FOLDER, *RANKING_FOLDERS.values()])
+
+
+def names(path):
+    return sorted(p.name for p in path.iterdir() if p.name[0] != ".") if path.exists() else []
+
+
+def fail_at(monkeypatch, module, name, call):
+    """The ``call``-th call of a function raises."""
+    real, calls = getattr(module, name), []
+
+    def sometimes(*args, **kwargs):
+        calls.append(args)
+        if len(calls) == call:
+            raise RuntimeError("stopped")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(module, name, sometimes)
+
+
+def test_a_failed_job_leaves_nothing_and_can_be_repeated(basic, tmp_path, monkeypatch):
+    path, averages = tmp_path / "q2", gs.monthly_averages(basic)
+    with monkeypatch.context() as patch:
+        fail_at(patch, csv, "write_csv", 3)
+        with pytest.raises(RuntimeError, match="stopped"):
+            gs.save_monthly_report(averages, str(path))
+    assert not path.exists()
+    gs.save_monthly_report(averages, str(path), manifest=True)
+    assert names(path) == sorted([publish.MANIFEST, *FOLDERS])
+
+
+def test_a_failed_delivery_leaves_no_folder(basic, tmp_path):
+    def writer():
+        raise OSError("no database")
+
+    with pytest.raises(Exception, match="no database"):
+        gs.save_monthly_report(gs.monthly_averages(basic), str(tmp_path / "q2"), writer, "app")
+    assert not (tmp_path / "q2").exists()
+
+
+@pytest.mark.parametrize("call", [1, 4, 6])
+def test_a_failed_move_is_rolled_back(basic, tmp_path, monkeypatch, call):
+    path = tmp_path / "q2"
+    path.mkdir()
+    (path / "other.txt").write_text("stays")
+    with monkeypatch.context() as patch:
+        fail_at(patch, publish._Files, "move", call)
+        with pytest.raises(RuntimeError, match="stopped"):
+            gs.save_monthly_report(gs.monthly_averages(basic), str(path), manifest=True)
+    assert names(path) == ["other.txt"]
+
+
+def test_what_a_lost_driver_left_is_removed(spark, basic, tmp_path, monkeypatch):
+    path, averages = tmp_path / "q2", gs.monthly_averages(basic)
+    with monkeypatch.context() as patch:  # neither the moves nor the clearing up come to an end
+        fail_at(patch, publish._Files, "move", 3)
+        fail_at(patch, publish, "_roll_back", 2)
+        with pytest.raises(RuntimeError, match="stopped"):
+            gs.save_monthly_report(averages, str(path))
+    assert len(set(names(path)) & set(FOLDERS)) == 2 and publish.STAGING in names(path)
+    sizes = gs.save_monthly_report(averages, str(path))
+    assert names(path) == FOLDERS and sizes["averages"] == 2
+    with pytest.raises(FileExistsError):
+        gs.save_monthly_report(averages, str(path))
+    assert names(path) == FOLDERS
+
+
+def test_a_folder_not_written_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="b"):
+        with gs.publication(spark, str(tmp_path / "p"), ["a", "b"]) as staging:
+            spark.range(3).write.csv(f"{staging}/a")
+    assert not (tmp_path / "p").exists()
+
+
+def test_manifest(spark, basic, tmp_path):
+    path = str(tmp_path / "q2")
+    with pytest.raises(FileNotFoundError):
+        gs.read_manifest(spark, path)
+    sizes = gs.save_monthly_report(gs.monthly_averages(basic), path, k=1, manifest=True)
+    assert sizes == {"averages": 2, "ci_desc": 1, "ci_asc": 1, "cfe_desc": 1, "cfe_asc": 1}
+    rows = {r.folder: r for r in gs.read_manifest(spark, path).collect()}
+    assert sorted(rows) == FOLDERS and rows[AVERAGES_FOLDER].n_rows == 2
+    for name, row in rows.items():
+        files = [p for p in (tmp_path / "q2" / name).iterdir() if p.name.startswith("part-")]
+        assert (row.n_files, row.n_bytes) == (len(files), sum(p.stat().st_size for p in files))
+    lines = (tmp_path / "q2" / publish.MANIFEST).read_text().splitlines()
+    assert [json.loads(line)["folder"] for line in lines] == [AVERAGES_FOLDER, *RANKING_FOLDERS.values()]
+
+
+def test_counts_come_from_the_writes(spark, random_readings, tmp_path):
+    """Each result is computed by the job that writes it and by no other."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    averages = gs.monthly_averages(random_readings)
+    n = averages.count()
+    counted = averages.mapInArrow(seen, averages.schema)
+    sizes = gs.save_monthly_report(counted, str(tmp_path / "q2"))
+    assert sizes == {"averages": n, "ci_desc": 5, "ci_asc": 5, "cfe_desc": 5, "cfe_asc": 5}
+    assert reads.value == n
+    assert dict(tuples(gs.result_sizes({"averages": averages}))) == {"averages": n}
+
+
+def test_empty_report(basic, tmp_path):
+    sizes = gs.save_monthly_report(gs.monthly_averages(basic.where(F.lit(False))), str(tmp_path / "q2"))
+    assert set(sizes.values()) == {0} and names(tmp_path / "q2") == FOLDERS
