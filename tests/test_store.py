@@ -1,0 +1,62 @@
+"""The store of partials: days and months that are delivered again, results from the store alone."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import gridstats as gs
+from gridstats.schema import CI, TIME
+
+from conftest import close, tuples
+
+STATS = ["country", "year"]
+
+
+def same(a, b):
+    a, b = sorted(tuples(a), key=str), sorted(tuples(b), key=str)
+    assert len(a) == len(b) and all(close(x, y) for x, y in zip(a, b))
+
+
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_results_from_the_store(spark, random_readings, tmp_path, unit):
+    path = str(tmp_path / "s")
+    few = random_readings.where(F.col(TIME) < "2019-09-01")
+    gs.store_days(few, path, unit=unit)
+    store = gs.read_days(spark, path)
+    same(gs.zone_year_from_store(store), gs.zone_year_stats(few))
+    same(gs.monthly_from_store(store), gs.monthly_averages(few))
+    n = few.select(F.substring(TIME, 1, 10 if unit == "day" else 7)).distinct().count()
+    folders = [p for p in (tmp_path / "s").iterdir() if p.name.startswith("day=")]
+    assert len(folders) == n and all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
+
+
+def test_a_day_delivered_again_replaces_itself(spark, make, tmp_path):
+    path = str(tmp_path / "s")
+    gs.store_days(make(("2021-01-01 00:00:00", "IT", 1.0, 1.0), ("2021-01-02 00:00:00", "IT", 5.0, 5.0)), path)
+    gs.store_days(make(("2021-01-01 00:00:00", "IT", 3.0, 2.0), ("2021-01-01 01:00:00", "SE", None, 4.0)), path)
+    gs.store_days(make(("2021-01-01 00:00:00", "IT", 3.0, 2.0), ("2021-01-01 01:00:00", "SE", None, 4.0)), path)
+    got = tuples(gs.zone_year_from_store(gs.read_days(spark, path)))
+    assert got == [("IT", 2021, 4.0, 3.0, 5.0, 3.5, 2.0, 5.0), ("SE", 2021, None, None, None, 4.0, 4.0, 4.0)]
+    gs.forget_days(spark, path, ["2021-01-01"])
+    assert tuples(gs.monthly_from_store(gs.read_days(spark, path))) == [("2021-01", 5.0, 5.0)]
+
+
+def test_bad_times(spark, make, tmp_path):
+    rows = make(("2021-01-01 00:00:00", "IT", 1.0, 1.0), ("bad", "IT", 7.0, 7.0), (None, None, 9.0, 9.0))
+    gs.store_days(rows, str(tmp_path / "null"))
+    same(gs.zone_year_from_store(gs.read_days(spark, str(tmp_path / "null"))), gs.zone_year_stats(rows))
+    gs.store_days(rows, str(tmp_path / "drop"), on_bad_time="drop")
+    same(
+        gs.zone_year_from_store(gs.read_days(spark, str(tmp_path / "drop"))),
+        gs.zone_year_stats(rows, on_bad_time="drop"),
+    )
+    with pytest.raises(Exception, match="not a time"):
+        gs.store_days(rows, str(tmp_path / "fail"), on_bad_time="fail")
+    with pytest.raises(ValueError, match="unit"):
+        gs.store_days(rows, str(tmp_path / "x"), unit="week")
+
+
+def test_other_metrics(spark, basic, tmp_path):
+    named = basic.withColumnRenamed(CI, "price")
+    gs.store_days(named, str(tmp_path / "s"), metrics=["price"])
+    store = gs.read_days(spark, str(tmp_path / "s"), metrics=["price"])
+    same(gs.zone_year_from_store(store, metrics=["price"]), gs.zone_year_stats(named, metrics=["price"]))
