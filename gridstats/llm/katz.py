@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridstats.llm.repeats import Rolling, _cuts
-from gridstats.llm.runs import runs
+from gridstats.llm.runs import kept_runs, packed, runs, unpacked
 from gridstats.shared import new_folder
 
 _U = np.uint64
@@ -68,17 +68,6 @@ def _classes(counts: np.ndarray) -> list[int]:
     return [*np.bincount(np.minimum(counts, TOP + 2), minlength=TOP + 2)[1 : TOP + 2].tolist(), int((counts > TOP).sum())]
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Unsigned numbers with a byte in front that tells their width."""
-    most = int(values.max()) if len(values) else 0
-    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
-
-
-def _numbers(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
-
-
 def _planes(ids: np.ndarray) -> bytes:
     """Numbers as one plane for each byte; the higher planes of numbers that are mostly small pack well."""
     width = max(1, (int(ids.max(initial=0)).bit_length() + 7) // 8)
@@ -138,7 +127,7 @@ class Run:
 
     @classmethod
     def of(cls, row) -> Run:
-        lengths = _numbers(row.lengths)
+        lengths = unpacked(row.lengths)
         train = np.array([d["train"] for d in row.docs], bool)
         starts = np.cumsum(lengths) - lengths
         return cls(np.frombuffer(row.words, _U), _from_planes(row.tokens), starts, np.repeat(train, lengths))
@@ -210,8 +199,8 @@ def _asked(run: Run, number: int, order: int, known: _Answers | None, levels: Se
         c, c_end = _cuts(e.context[s:end])
         rows.append(
             (
-                int(e.bucket[s]), number, e.context[s:end][c].tobytes(), _packed(c_end - c), e.word[s:end].tobytes(),
-                _packed(n[s:end]), _packed(times[s:end]), _packed(shorter[s:end]), _packed(totals[s:end][c]),
+                int(e.bucket[s]), number, e.context[s:end][c].tobytes(), packed(c_end - c), e.word[s:end].tobytes(),
+                packed(n[s:end]), packed(times[s:end]), packed(shorter[s:end]), packed(totals[s:end][c]),
             )
         )
     return pd.DataFrame(rows, columns=[c.split()[0] for c in _PART.split(", ")])
@@ -219,21 +208,21 @@ def _asked(run: Run, number: int, order: int, known: _Answers | None, levels: Se
 
 def _counted(parts: pd.DataFrame, order: int, frequent: np.ndarray, lower: Level | None) -> pd.DataFrame:
     """All runs' n-grams of one bucket: answers to each run, classes of counts, frequent n-grams."""
-    followers = [_numbers(f) for f in parts["followers"]]
+    followers = [unpacked(f) for f in parts["followers"]]
     contexts = [np.frombuffer(c, _U) for c in parts["contexts"]]
     context = np.concatenate([np.repeat(c, f) for c, f in zip(contexts, followers)])
     word = np.concatenate([np.frombuffer(w, _U) for w in parts["words"]])
     gram, first, at = np.unique(_joined(context, word), return_index=True, return_inverse=True)
-    counts = np.bincount(at, np.concatenate([_numbers(c) for c in parts["counts"]]), len(gram)).astype(np.int64)
-    times = np.bincount(at, np.concatenate([_numbers(c) for c in parts["times"]]), len(gram)).astype(np.int64)
+    counts = np.bincount(at, np.concatenate([unpacked(c) for c in parts["counts"]]), len(gram)).astype(np.int64)
+    times = np.bincount(at, np.concatenate([unpacked(c) for c in parts["times"]]), len(gram)).astype(np.int64)
     of, inside = np.unique(context[first], return_inverse=True)
     total = np.bincount(inside, counts, len(of)).astype(np.int64)
     kinds = np.minimum(counts, TOP + 1)
     classes = np.stack([np.bincount(inside, kinds == r, len(of)) for r in range(1, TOP + 2)]).astype(np.int64)
     owed = np.zeros(len(of))
     if lower is not None:
-        shorter = np.concatenate([_numbers(c) for c in parts["shorter"]])[first]
-        below = np.concatenate([np.repeat(_numbers(t), f) for t, f in zip(parts["shorter_totals"], followers)])[first]
+        shorter = np.concatenate([unpacked(c) for c in parts["shorter"]])[first]
+        below = np.concatenate([np.repeat(unpacked(t), f) for t, f in zip(parts["shorter_totals"], followers)])[first]
         p = np.where(counts > 0, lower.discounted(shorter) / np.maximum(below, 1), 0.0)
         owed = np.bincount(inside, p, len(of))
     rows, entry, place = [], 0, np.searchsorted(of, np.concatenate(contexts))
@@ -245,13 +234,13 @@ def _counted(parts: pd.DataFrame, order: int, frequent: np.ndarray, lower: Level
         open_ = own[unseen & (total[own] > 0)]
         rows.append(
             {
-                "kind": "answer", "run": run, "bucket": int(parts["bucket"].iloc[0]), "counts": _packed(mine),
-                "totals": _packed(total[own]), "open": np.packbits(unseen & (total[own] > 0)).tobytes(),
-                "classes": _packed(classes[:, open_].ravel()), "owed": owed[open_].tobytes(),
+                "kind": "answer", "run": run, "bucket": int(parts["bucket"].iloc[0]), "counts": packed(mine),
+                "totals": packed(total[own]), "open": np.packbits(unseen & (total[own] > 0)).tobytes(),
+                "classes": packed(classes[:, open_].ravel()), "owed": owed[open_].tobytes(),
             }
         )
     rows.append(
-        {"kind": "classes", "n": int(counts.sum()), "distinct": int((counts > 0).sum()), "classes": _packed(np.array(_classes(counts)))}
+        {"kind": "classes", "n": int(counts.sum()), "distinct": int((counts > 0).sum()), "classes": packed(np.array(_classes(counts)))}
     )
     often = gram[times >= _FREQUENT]
     if len(often):
@@ -260,8 +249,8 @@ def _counted(parts: pd.DataFrame, order: int, frequent: np.ndarray, lower: Level
     if order > 1 and len(parted):
         rows.append(
             {
-                "kind": "parted", "contexts": of[parted].tobytes(), "totals": _packed(total[parted]),
-                "classes": _packed(classes[:, parted].ravel()), "owed": owed[parted].tobytes(),
+                "kind": "parted", "contexts": of[parted].tobytes(), "totals": packed(total[parted]),
+                "classes": packed(classes[:, parted].ravel()), "owed": owed[parted].tobytes(),
             }
         )
     made = pd.DataFrame(rows).reindex(columns=[c.split()[0] for c in _COUNTED.split(", ")])
@@ -284,13 +273,13 @@ class _Answers:
             freed = levels[order - 1].freed()
             for s, end in zip(starts, ends):
                 row = by_bucket.loc[int(e.bucket[s])]
-                counts[s:end] = _numbers(row.counts)
+                counts[s:end] = unpacked(row.counts)
                 c, c_end = _cuts(e.context[s:end])
-                total = _numbers(row.totals)
+                total = unpacked(row.totals)
                 weight = np.zeros(len(c))
                 open_ = np.unpackbits(np.frombuffer(row.open, np.uint8), count=len(c)).astype(bool)
                 if open_.any():
-                    free = freed @ _numbers(row.classes).reshape(TOP + 1, -1)
+                    free = freed @ unpacked(row.classes).reshape(TOP + 1, -1)
                     weight[open_] = _log_weight(free, total[open_], np.frombuffer(row.owed))
                 totals[s:end], weights[s:end] = np.repeat(total, c_end - c), np.repeat(weight, c_end - c)
             if order > 1:
@@ -339,23 +328,18 @@ def _run_table(docs: DataFrame, n_buckets: int) -> DataFrame:
             by = np.argsort(-n, kind="stable")  # frequent words get small numbers
             place = np.empty(len(by), np.int64)
             place[by] = np.arange(len(by))
-            row = (number, list(rows["doc"]), _packed(np.array([len(w) for w in own])), words[by].tobytes(), _planes(place[at]))
+            row = (number, list(rows["doc"]), packed(np.array([len(w) for w in own])), words[by].tobytes(), _planes(place[at]))
             yield pd.DataFrame([row], columns=["run", "docs", "lengths", "words", "tokens"])
 
     doc = docs.schema["doc"].dataType.simpleString()
     made = docs.mapInPandas(gather, f"run long, docs array<{doc}>, lengths binary, words binary, tokens binary")
-    path = new_folder(docs.sparkSession, "katz")
-    name = path.rpartition("/")[2].replace("-", "_")
-    writer = made.write.format("parquet").option("path", f"{path}/runs").option("compression", "zstd")
-    writer.bucketBy(n_buckets, "run").saveAsTable(name)
-    return docs.sparkSession.table(name)
+    return kept_runs(made, n_buckets, "katz")
 
 
-def _ask_first(buckets: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for own in batch.itertuples(index=False):
-                yield _asked(Run.of(own), own.run, 1, None, [], buckets)
+def _ask_first(buckets: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def ask(own: pd.DataFrame) -> pd.DataFrame:
+        row = next(own.itertuples(index=False))
+        return _asked(Run.of(row), row.run, 1, None, [], buckets)
 
     return ask
 
@@ -384,13 +368,13 @@ def _level(counted: DataFrame, order: int) -> Level:
     frequent, parted = [EMPTY[:0]], {}
     for row in counted.where("kind != 'answer'").select("kind", "n", "distinct", "contexts", "totals", "classes", "owed").toLocalIterator():
         if row.kind == "classes":
-            seen += _numbers(row["classes"])
+            seen += unpacked(row["classes"])
             tokens, words = tokens + row.n, words + row.distinct
         elif row.kind == "frequent":
             frequent.append(np.frombuffer(row.contexts, _U))
         else:
-            classes = _numbers(row["classes"]).reshape(TOP + 1, -1).T
-            for c, t, m, p in zip(np.frombuffer(row.contexts, _U).tolist(), _numbers(row.totals).tolist(), classes, np.frombuffer(row.owed)):
+            classes = unpacked(row["classes"]).reshape(TOP + 1, -1).T
+            for c, t, m, p in zip(np.frombuffer(row.contexts, _U).tolist(), unpacked(row.totals).tolist(), classes, np.frombuffer(row.owed)):
                 old = parted.get(c, (0, np.zeros(TOP + 1, np.int64), 0.0))
                 parted[c] = (old[0] + t, old[1] + m, old[2] + float(p))
     contexts = np.unique(np.concatenate([*frequent, _all_start(order + 1)]))
@@ -428,7 +412,8 @@ def score_texts(
     shape = f"level int, {_COUNTED}"
     for k in range(1, order + 1):
         if k == 1:
-            asked = run_table.mapInPandas(_ask_first(buckets), _PART)
+            # By run, though each has one row: a batch of rows could hold many runs.
+            asked = run_table.groupBy("run").applyInPandas(_ask_first(buckets), _PART)
         else:
             both = run_table.groupBy("run").cogroup(answers.groupBy("of_run"))
             asked = both.applyInPandas(_ask(k, tuple(levels), buckets), _PART)

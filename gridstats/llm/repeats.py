@@ -4,7 +4,8 @@ A rolling hash over the bytes of a text sets triggers; the text between two trig
 before it, is a phrase. Phrases depend on content only: where a passage occurs again, so do the phrases in
 it. The dictionary, that is the phrases of all distinct texts, is counted first: a string that holds a
 phrase with a single occurrence has a single occurrence itself. Of the strings of ``size`` bytes that are
-left, equal ones are found by sorting their 96-bit hashes in buckets.
+left, equal ones are found by sorting their 96-bit hashes in buckets. Texts are gathered in runs of some
+megabytes; a run asks once for each hash it has, however often it has it.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridstats.llm.runs import kept_runs, runs
 from gridstats.shared import kept
 
 _U = np.uint64
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _WINDOW = 16
-_FLUSH_BYTES, _FLUSH_TEXTS = 48 << 20, 60_000
+_RUN_BYTES = 4 << 20
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -80,16 +82,6 @@ def _utf8(text: str) -> np.ndarray:
     return np.frombuffer(text.encode(), np.uint8)
 
 
-def _small(values: np.ndarray) -> bytes:
-    """Unsigned numbers with a byte in front that tells their width."""
-    width = 2 if not len(values) or values.max() < 1 << 16 else 4
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
-
-
-def _numbers(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
-
-
 def _as_runs(places: np.ndarray) -> bytes:
     """Sorted places as runs of places next to each other: starts, then lengths."""
     starts = np.flatnonzero(np.r_[True, places[1:] != places[:-1] + 1])
@@ -109,154 +101,97 @@ def _cuts(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.r_[starts[1:], len(order)].astype(int)
 
 
-def _dictionary(texts: DataFrame, mean: int, buckets: int) -> DataFrame:
-    """Phrases with more than one occurrence in the distinct texts: ``text_id, phrases``, some rows a text.
+def _once_or_more(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values of a run, where each value is among them, and which occur more than once."""
+    found, at, n = np.unique(values, return_inverse=True, return_counts=True)
+    return found, at, n > 1
 
-    Phrases travel in buckets of their hash, as arrays, a row for each bucket of some megabytes of text.
-    Copies of a text count once. The bits of the hash that travel can make two phrases one: this only
-    leaves more strings to compare.
-    """
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        roll = Rolling()
-        ids, hashes, owners, numbers, size = [], [], [], [], 0
-
-        def flush() -> pd.DataFrame:
-            h, o, k = np.concatenate(hashes), np.concatenate(owners), np.concatenate(numbers)
-            bucket = (h % _U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            starts, ends = _cuts(bucket[order])
-            rows = []
-            for s, e in zip(starts, ends):
-                part = order[s:e]
-                mine, at = np.unique(o[part], return_inverse=True)
-                keys = (h[part] >> _U(32)).astype("<u4").tobytes()
-                names = b"".join(ids[i] for i in mine)
-                rows.append((int(bucket[part[0]]), names, _small(at), keys, _small(k[part])))
-            return pd.DataFrame(rows, columns=["bucket", "ids", "owners", "keys", "numbers"])
-
-        for batch in batches:
-            for text_id, text in zip(batch["text_id"], batch["text"]):
-                data = _utf8(text)
-                sums = roll.prefixes(data)
-                h = roll.phrases(sums, roll.triggers(sums, mean))
-                hashes.append(h)
-                owners.append(np.full(len(h), len(ids), np.int64))
-                numbers.append(np.arange(len(h)))
-                ids.append(bytes(text_id))
-                size += len(data)
-                if size > _FLUSH_BYTES or len(ids) >= _FLUSH_TEXTS:
-                    yield flush()
-                    ids, hashes, owners, numbers, size = [], [], [], [], 0
-        if ids:
-            yield flush()
-
-    def shared(parts: pd.DataFrame) -> pd.DataFrame:
-        names, owners, keys, numbers = [], [], [], []
-        for ids, o, h, k in zip(parts["ids"], parts["owners"], parts["keys"], parts["numbers"]):
-            owners.append(_numbers(o) + len(names))
-            names += [ids[i : i + 16] for i in range(0, len(ids), 16)]
-            keys.append(np.frombuffer(h, "<u4"))
-            numbers.append(_numbers(k))
-        codes, distinct = pd.factorize(np.array([*names, None], dtype=object)[:-1])
-        places = codes[np.concatenate(owners)].astype(np.int64) << 32 | np.concatenate(numbers)
-        keys = np.concatenate(keys)
-        order = np.argsort(keys, kind="stable")
-        places = places[order]
-        starts, ends = _cuts(keys[order])
-        many = np.minimum.reduceat(places, starts) != np.maximum.reduceat(places, starts)
-        found = np.unique(places[np.repeat(many, ends - starts)])
-        starts, ends = _cuts(found >> 32)
-        own = [_small(found[s:e] & 0xFFFFFFFF) for s, e in zip(starts, ends)]
-        return pd.DataFrame({"text_id": [distinct[found[s] >> 32] for s in starts], "phrases": own})
-
-    shape = "bucket long, ids binary, owners binary, keys binary, numbers binary"
-    parts = texts.mapInPandas(parse, shape)
-    return parts.groupBy("bucket").applyInPandas(shared, "text_id binary, phrases binary")
-
-
-def _string_hashes(text: str, places: np.ndarray, size: int, rolls: list[Rolling]) -> list[np.ndarray]:
-    data = _utf8(text)
-    return [r.of(r.prefixes(data), places, places + size) for r in rolls]
-
-
-def _shard(text_id: bytes, shards: int) -> int:
-    return int.from_bytes(text_id[:8], "little") % shards
-
-
-def _equal_strings(open_texts: DataFrame, size: int, buckets: int) -> DataFrame:
-    """Of the open places of each text those whose string occurs elsewhere: ``shard, bucket, ids, counts,
-    bits``, a row for each bucket and shard of texts.
-
-    Hashes travel in buckets, 12 bytes each and nothing else: what a text has in a bucket is in the order
-    of its places, and the answer is a bit for each.
-    """
+def _deal(found: np.ndarray, more: np.ndarray, buckets: int, run: int, others: np.ndarray | None = None) -> pd.DataFrame:
+    """A row for each bucket of a run's distinct hashes: the bits that travel, and which are there twice.
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rolls = [Rolling(1), Rolling(2)]
-        ids, own, size_now = [], [], 0
-
-        def flush() -> pd.DataFrame:
-            first = np.concatenate([a for a, _ in own])
-            second = np.concatenate([b for _, b in own])
-            owner = np.repeat(np.arange(len(own)), [len(a) for a, _ in own])
-            bucket = (first % _U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            starts, ends = _cuts(bucket[order])
-            rows = []
-            for s, e in zip(starts, ends):
-                part = order[s:e]
-                mine, counts = np.unique(owner[part], return_counts=True)
-                rows.append(
-                    (
-                        int(bucket[part[0]]),
-                        b"".join(ids[i] for i in mine),
-                        _small(counts),
-                        first[part].tobytes(),
-                        (second[part] >> _U(32)).astype("<u4").tobytes(),
-                    )
-                )
-            return pd.DataFrame(rows, columns=["bucket", "ids", "counts", "first", "second"])
-
-        for batch in batches:
-            for text_id, text, places in zip(batch["text_id"], batch["text"], batch["places"]):
-                own.append(_string_hashes(text, _from_runs(places), size, rolls))
-                ids.append(bytes(text_id))
-                size_now += 8 * len(own[-1][0])
-                if size_now > _FLUSH_BYTES or len(ids) >= _FLUSH_TEXTS:
-                    yield flush()
-                    ids, own, size_now = [], [], 0
-        if ids:
-            yield flush()
-
-    def equal(parts: pd.DataFrame) -> pd.DataFrame:
-        first = np.concatenate([np.frombuffer(x, np.uint64) for x in parts["first"]])
-        second = np.concatenate([np.frombuffer(x, "<u4") for x in parts["second"]])
-        order = np.lexsort((second, first))
-        a, b = first[order], second[order]
-        same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-        twice = np.zeros(len(order), bool)
-        twice[order] = np.r_[same, False] | np.r_[False, same]
-        ids = [i[k : k + 16] for i in parts["ids"] for k in range(0, len(i), 16)]
-        ends = np.cumsum(np.concatenate([_numbers(c) for c in parts["counts"]]))
-        starts = np.r_[0, ends[:-1]]
-        some = np.add.reduceat(twice.astype(np.int64), starts) > 0
-        found = np.flatnonzero(some)
-        shard = np.array([_shard(ids[i], buckets) for i in found], np.int64)
-        by = found[np.argsort(shard, kind="stable")]
-        shard = np.sort(shard)
-        rows = []
-        for s, e in zip(*_cuts(shard)):
-            own = by[s:e]
-            bits = b"".join(np.packbits(twice[starts[i] : ends[i]]).tobytes() for i in own)
-            names = b"".join(ids[i] for i in own)
-            rows.append((int(shard[s]), parts["bucket"][0], names, _small((ends - starts)[own]), bits))
-        return pd.DataFrame(rows, columns=["to_shard", "bucket", "ids", "counts", "bits"])
-
-    shape = "bucket long, ids binary, counts binary, first binary, second binary"
-    parts = open_texts.mapInPandas(deal, shape)
-    answer = "to_shard long, bucket long, ids binary, counts binary, bits binary"
-    return parts.groupBy("bucket").applyInPandas(equal, answer)
+    A value is sent once however often the run has it, so frequent ones make no bucket large.
+    """
+    bucket = (found % _U(buckets)).astype(np.int64)
+    by = np.argsort(bucket, kind="stable")
+    rows = []
+    for s, e in zip(*_cuts(bucket[by])):
+        own = by[s:e]
+        high = (found[own] >> _U(32)).astype("<u4").tobytes() if others is None else found[own].tobytes()
+        low = b"" if others is None else others[own].tobytes()
+        rows.append((int(bucket[own[0]]), run, high, low, np.packbits(more[own]).tobytes()))
+    return pd.DataFrame(rows, columns=["bucket", "run", "hashes", "others", "more"])
+
+
+_DEALT = "bucket long, run long, hashes binary, others binary, more binary"
+
+
+def _met(parts: pd.DataFrame) -> pd.DataFrame:
+    """For each run of a bucket, which of its hashes occur more than once in all runs together."""
+    wide = len(parts["others"].iloc[0]) > 0
+    hashes = [np.frombuffer(h, "<u8" if wide else "<u4") for h in parts["hashes"]]
+    sizes = [len(h) for h in hashes]
+    more = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n) for m, n in zip(parts["more"], sizes)])
+    values = np.concatenate(hashes)
+    if wide:
+        others = np.concatenate([np.frombuffer(o, "<u4") for o in parts["others"]])
+        order = np.lexsort((others, values))
+        new = np.r_[True, (values[order][1:] != values[order][:-1]) | (others[order][1:] != others[order][:-1])]
+    else:
+        order = np.argsort(values, kind="stable")
+        new = np.r_[True, values[order][1:] != values[order][:-1]]
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(new) - 1
+    twice = (np.bincount(at, 1 + more.astype(np.int64)) > 1)[at]
+    ends = np.cumsum(sizes)
+    bits = [np.packbits(twice[e - n : e]).tobytes() for n, e in zip(sizes, ends)]
+    return pd.DataFrame({"of_run": parts["run"], "bucket": parts["bucket"], "twice": bits})
+
+
+_ANSWER = "of_run long, bucket long, twice binary"
+
+
+def _answered(found: np.ndarray, rows: pd.DataFrame, buckets: int) -> np.ndarray:
+    """The answers to a run's distinct hashes, in their order."""
+    bucket = (found % _U(buckets)).astype(np.int64)
+    by = np.argsort(bucket, kind="stable")
+    of = dict(zip(rows["bucket"].tolist(), rows["twice"]))
+    twice = np.zeros(len(found), bool)
+    for s, e in zip(*_cuts(bucket[by])):
+        twice[by[s:e]] = np.unpackbits(np.frombuffer(of[int(bucket[by[s]])], np.uint8), count=e - s).astype(bool)
+    return twice
+
+
+def _run_phrases(texts: list[str], mean: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Triggers and phrase hashes of each text of a run."""
+    roll, triggers, phrases = Rolling(), [], []
+    for text in texts:
+        sums = roll.prefixes(_utf8(text))
+        triggers.append(roll.triggers(sums, mean))
+        phrases.append(roll.phrases(sums, triggers[-1]))
+    return triggers, phrases
+
+
+def _run_strings(texts: list[str], places: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64 and 32 bits of the hashes of the strings at the open places of a run, and how many each text has."""
+    rolls, found, n = [Rolling(1), Rolling(2)], [[], []], []
+    for text, own in zip(texts, places):
+        data, at = _utf8(text), _from_runs(own)
+        for roll, to in zip(rolls, found):
+            to.append(roll.of(roll.prefixes(data), at, at + size))
+        n.append(len(at))
+    first, second = np.concatenate(found[0]), np.concatenate(found[1])
+    return first, (second >> _U(32)).astype("<u4"), np.array(n, np.int64)
+
+
+def _distinct_strings(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs, in order, where each string is among them, and which occur more than once."""
+    order = np.lexsort((second, first))
+    a, b = first[order], second[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return a[new], b[new], at, np.bincount(at) > 1
 
 
 def spans_of(starts: np.ndarray, size: int) -> np.ndarray:
@@ -284,7 +219,8 @@ def repeated_passages(
     ``(start, end)``, ``kept_sha256`` the digest of the bytes that are left. A text that occurs in two
     rows repeats as a whole if it has ``size`` bytes. Texts are read once per distinct content after the
     first pass, so copies cost nothing more. ``mean`` is the mean length of a phrase; the result does not
-    depend on it. A task holds the hashes of one text, about 60 times its bytes.
+    depend on it. A task holds a run of 4 MB of texts or a single longer one, at about 60 times its bytes, or
+    a bucket of about ``bucket_bytes`` of text; a string that is everywhere is there once for each run.
     """
     if size < 2 * _WINDOW:
         raise ValueError(f"size must be at least {2 * _WINDOW}")
@@ -300,68 +236,69 @@ def repeated_passages(
     long_rows = row.where(F.col("n_bytes") >= size).select("text_id", "text")
     volume = rows.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(8, -(-volume // bucket_bytes))
+    n_runs = max(8, -(-volume // _RUN_BYTES))
 
-    phrases = _dictionary(long_rows, mean, buckets).groupBy("text_id").agg(
-        F.collect_list("phrases").alias("phrases")
-    )
-    texts = long_rows.groupBy("text_id").agg(F.first("text").alias("text"))
-    parsed = texts.join(phrases.withColumnRenamed("text_id", "of"), F.col("text_id") == F.col("of"), "left")
-
-    def leave(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        roll = Rolling()
-        for batch in batches:
-            found = []
-            for text_id, text_, numbers in zip(batch["text_id"], batch["text"], batch["phrases"]):
-                data = _utf8(text_)
-                triggers = roll.triggers(roll.prefixes(data), mean)
-                repeated = np.zeros(max(0, len(triggers) - 1), bool)
-                for part in numbers if numbers is not None else ():
-                    repeated[_numbers(part)] = True
-                places = open_places(len(data), triggers, repeated, size)
-                if len(places):
-                    shard = _shard(bytes(text_id), parts)
-                    found.append((shard, text_id, text_, _as_runs(places)))
-            yield pd.DataFrame(found, columns=["shard", "text_id", "text", "places"])
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for number, held in runs(batches, "text", _RUN_BYTES):
+            row = (number, b"".join(map(bytes, held["text_id"])), held["text"].tolist())
+            yield pd.DataFrame([row], columns=["run", "ids", "texts"])
 
+    texts = long_rows.groupBy("text_id").agg(F.first("text").alias("text"))
+    shape = "run long, ids binary, texts array<string>"
+    run_table = kept_runs(texts.mapInPandas(gather, shape), n_runs, "texts")
+
+    def ask_phrases(own: pd.DataFrame) -> pd.DataFrame:
+        _, phrases = _run_phrases(list(own["texts"].iloc[0]), mean)
+        found, _, more = _once_or_more(np.concatenate(phrases))
+        return _deal(found, more, buckets, int(own["run"].iloc[0]))
+
+    def leave(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        texts = list(own["texts"].iloc[0])
+        triggers, phrases = _run_phrases(texts, mean)
+        found, at, _ = _once_or_more(np.concatenate(phrases))
+        repeated, ids, start = _answered(found, rows, buckets)[at], own["ids"].iloc[0], 0
+        held: list[tuple[bytes, str, bytes]] = []
+        for i, (text, marks, own_phrases) in enumerate(zip(texts, triggers, phrases)):
+            places = open_places(len(text.encode()), marks, repeated[start : start + len(own_phrases)], size)
+            start += len(own_phrases)
+            if len(places):
+                held.append((ids[16 * i : 16 * i + 16], text, _as_runs(places)))
+        rows = [(int(own["run"].iloc[0]), b"".join(h[0] for h in held), [h[1] for h in held], [h[2] for h in held])]
+        return pd.DataFrame(rows if held else [], columns=["run", "ids", "texts", "places"])
+
+    # By run, though each has one row: a batch of rows could hold many runs.
+    answers = run_table.groupBy("run").applyInPandas(ask_phrases, _DEALT).groupBy("bucket").applyInPandas(_met, _ANSWER)
+    left = run_table.groupBy("run").cogroup(answers.groupBy("of_run"))
+    open_runs = kept_runs(left.applyInPandas(leave, f"{shape}, places array<binary>"), n_runs, "open")
     parts = 4 * buckets
-    shape = "shard long, text_id binary, text string, places binary"
-    open_texts = kept(parsed.select("text_id", "text", "phrases").mapInPandas(leave, shape), "open")
-    answers = _equal_strings(open_texts, size, parts)
 
-    def cut(texts_: pd.DataFrame, answers_: pd.DataFrame) -> pd.DataFrame:
+    def ask_strings(own: pd.DataFrame) -> pd.DataFrame:
+        first, second, _ = _run_strings(list(own["texts"].iloc[0]), list(own["places"].iloc[0]), size)
+        first, second, _, more = _distinct_strings(first, second)
+        return _deal(first, more, parts, int(own["run"].iloc[0]), second)
+
+    def cut(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         import hashlib
 
-        said: dict[bytes, list[tuple[int, np.ndarray]]] = {}
-        for a in answers_.itertuples(index=False):
-            at = 0
-            for k, n in enumerate(_numbers(a.counts).tolist()):
-                part = np.frombuffer(a.bits, np.uint8, count=-(-n // 8), offset=at)
-                at += len(part)
-                said.setdefault(a.ids[16 * k : 16 * k + 16], []).append((a.bucket, np.unpackbits(part, count=n)))
-        roll, made = Rolling(1), []
-        for text_id, text_, places in zip(texts_["text_id"], texts_["text"], texts_["places"]):
-            own = said.get(bytes(text_id))
-            if own is None:
+        texts, places, ids = list(own["texts"].iloc[0]), list(own["places"].iloc[0]), own["ids"].iloc[0]
+        first, second, n = _run_strings(texts, places, size)
+        first, second, at, _ = _distinct_strings(first, second)
+        twice, start, made = _answered(first, rows, parts)[at], 0, []
+        for i, text in enumerate(texts):
+            spans = spans_of(_from_runs(places[i])[twice[start : start + n[i]]], size).tolist()
+            start += n[i]
+            if not spans:
                 continue
-            places = _from_runs(places)
-            bucket = (_string_hashes(text_, places, size, [roll])[0] % _U(parts)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            starts, ends = _cuts(bucket[order])
-            at = {int(bucket[order[s]]): order[s:e] for s, e in zip(starts, ends)}
-            twice = np.zeros(len(places), bool)
-            for number, flags in own:
-                twice[at[number]] = flags.astype(bool)
-            spans = spans_of(places[twice], size)
-            data, keep, end = text_.encode(), hashlib.sha256(), 0
-            for s, e in spans.tolist():
+            data, keep, end = text.encode(), hashlib.sha256(), 0
+            for s, e in spans:
                 keep.update(data[end:s])
                 end = e
             keep.update(data[end:])
-            shown = [{"start": s, "end": e} for s, e in spans.tolist()]
-            made.append((text_id, shown, keep.hexdigest()))
+            made.append((ids[16 * i : 16 * i + 16], [{"start": s, "end": e} for s, e in spans], keep.hexdigest()))
         return pd.DataFrame(made, columns=["of", "found", "left"])
 
-    both = open_texts.groupBy("shard").cogroup(answers.groupBy("to_shard"))
+    answers = open_runs.groupBy("run").applyInPandas(ask_strings, _DEALT).groupBy("bucket").applyInPandas(_met, _ANSWER)
+    both = open_runs.groupBy("run").cogroup(answers.groupBy("of_run"))
     removed = both.applyInPandas(cut, "of binary, found array<struct<start:long,end:long>>, left string")
     copies = rows.groupBy("text_id").agg(F.count("*").alias("copies")).where("copies > 1")
     copies = copies.select(F.col("text_id").alias("copied"))

@@ -8,8 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+from gridstats.shared import new_folder
 
 
 def run_number(sequence: int) -> int:
@@ -32,3 +36,27 @@ def runs(batches: Iterator[pd.DataFrame], text: str, size: int) -> Iterator[tupl
             held.append(batch.iloc[start:])
     if held:
         yield run_number(sequence), pd.concat(held, ignore_index=True)
+
+
+def kept_runs(made: DataFrame, n_buckets: int, name: str) -> DataFrame:
+    """Rows of runs written once, in files bucketed by ``run``: a cogroup by run then shuffles none of them.
+
+    The table's name is known to this session only; its files are in the shared folder.
+    """
+    spark = made.sparkSession
+    path = new_folder(spark, name)
+    table = path.rpartition("/")[2].replace("-", "_")
+    writer = made.write.format("parquet").option("path", path).option("compression", "zstd")
+    writer.bucketBy(n_buckets, "run").saveAsTable(table)
+    return spark.table(table)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers with a byte in front that tells their width."""
+    most = int(values.max()) if len(values) else 0
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
