@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridstats.llm.repeats import Rolling, _cuts
@@ -183,8 +183,11 @@ _PART = (
 )
 _COUNTED = (
     "kind string, run long, bucket long, counts binary, totals binary, open binary, classes binary,"
-    " owed binary, contexts binary, n long, distinct long"
+    " owed binary, contexts binary, n long, distinct long, followers binary, words binary, shorter binary,"
+    " shorter_totals binary"
 )
+_BINARY = [c.split()[0] for c in _COUNTED.split(", ") if c.endswith(" binary")]
+_MODEL = -1  # the run that stands for a kept model
 
 
 def _asked(run: Run, number: int, order: int, known: _Answers | None, levels: Sequence[Level], buckets: int) -> pd.DataFrame:
@@ -206,8 +209,9 @@ def _asked(run: Run, number: int, order: int, known: _Answers | None, levels: Se
     return pd.DataFrame(rows, columns=[c.split()[0] for c in _PART.split(", ")])
 
 
-def _counted(parts: pd.DataFrame, order: int, frequent: np.ndarray, lower: Level | None) -> pd.DataFrame:
-    """All runs' n-grams of one bucket: answers to each run, classes of counts, frequent n-grams."""
+def _counted(parts: pd.DataFrame, order: int, frequent: np.ndarray, lower: Level | None, keep: bool) -> pd.DataFrame:
+    """All runs' n-grams of one bucket: answers to each run, classes of counts, frequent n-grams, and with
+    ``keep`` the n-grams themselves."""
     followers = [unpacked(f) for f in parts["followers"]]
     contexts = [np.frombuffer(c, _U) for c in parts["contexts"]]
     context = np.concatenate([np.repeat(c, f) for c, f in zip(contexts, followers)])
@@ -242,6 +246,19 @@ def _counted(parts: pd.DataFrame, order: int, frequent: np.ndarray, lower: Level
     rows.append(
         {"kind": "classes", "n": int(counts.sum()), "distinct": int((counts > 0).sum()), "classes": packed(np.array(_classes(counts)))}
     )
+    if keep:
+        held = np.flatnonzero(counts > 0)
+        held = held[np.argsort(context[first][held], kind="stable")]
+        c, c_end = _cuts(context[first][held])
+        zero = np.zeros(len(held), np.int64)
+        rows.append(
+            {
+                "kind": "gram", "bucket": int(parts["bucket"].iloc[0]), "contexts": context[first][held][c].tobytes(),
+                "followers": packed(c_end - c), "words": word[first][held].tobytes(), "counts": packed(counts[held]),
+                "shorter": packed(shorter[held] if lower is not None else zero),
+                "shorter_totals": packed((below[held] if lower is not None else zero)[c]),
+            }
+        )
     often = gram[times >= _FREQUENT]
     if len(often):
         rows.append({"kind": "frequent", "contexts": often.tobytes()})
@@ -255,7 +272,7 @@ def _counted(parts: pd.DataFrame, order: int, frequent: np.ndarray, lower: Level
         )
     made = pd.DataFrame(rows).reindex(columns=[c.split()[0] for c in _COUNTED.split(", ")])
     made[["run", "bucket", "n", "distinct"]] = made[["run", "bucket", "n", "distinct"]].astype("Int64")
-    return made.astype({c: object for c in ("counts", "totals", "open", "classes", "owed", "contexts")}).where(made.notna(), None)
+    return made.astype({c: object for c in _BINARY}).where(made.notna(), None)
 
 
 class _Answers:
@@ -353,10 +370,10 @@ def _ask(order: int, levels: tuple[Level, ...], buckets: int) -> Callable[[pd.Da
     return ask
 
 
-def _count(order: int, levels: tuple[Level, ...]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _count(order: int, levels: tuple[Level, ...], keep: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def count(parts: pd.DataFrame) -> pd.DataFrame:
         lower = levels[-1] if levels else None
-        return _counted(parts, order, lower.frequent if lower else EMPTY[:0], lower).assign(level=order)
+        return _counted(parts, order, lower.frequent if lower else EMPTY[:0], lower, keep).assign(level=order)
 
     return count
 
@@ -366,7 +383,7 @@ def _level(counted: DataFrame, order: int) -> Level:
     for each frequent context, of which there are at most ``tokens / 2 ** 18``."""
     seen, tokens, words = np.zeros(TOP + 2, np.int64), 0, 0
     frequent, parted = [EMPTY[:0]], {}
-    for row in counted.where("kind != 'answer'").select("kind", "n", "distinct", "contexts", "totals", "classes", "owed").toLocalIterator():
+    for row in counted.where("kind IN ('classes', 'frequent', 'parted')").select("kind", "n", "distinct", "contexts", "totals", "classes", "owed").toLocalIterator():
         if row.kind == "classes":
             seen += unpacked(row["classes"])
             tokens, words = tokens + row.n, words + row.distinct
@@ -381,50 +398,43 @@ def _level(counted: DataFrame, order: int) -> Level:
     return Level(tuple(seen.tolist()), tokens, words, contexts, parted)
 
 
-def score_texts(
-    docs: DataFrame,
-    train: Column,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    order: int = 2,
-    bucket_bytes: int = 16 << 20,
-) -> DataFrame:
-    """Per row: ``doc_id, train, n_tokens, n_known, train_tokens, base_score, score``.
-
-    Tokens are the words of the text, parted by blanks and with A-Z lower-cased, and its end; a null text
-    is empty and has its end only. The model of n-grams up to ``order`` learns from the rows where ``train``
-    is true, null counting as false; ``score`` is its log10 probability of the text, ``base_score`` that of
-    words with one added to each count. A word the model does not know has the probability of all unknown
-    ones together. Without any training rows all words are unknown and both scores are 0. Equal texts have
-    equal scores; an empty table gives no rows; other columns are not read. A task holds a run of 8 MB of
-    text or a single longer one, or a bucket of about ``bucket_bytes`` of text, whatever the counts are.
-    """
-    if order < 1:
-        raise ValueError("order must be at least 1")
-    whole = F.coalesce(F.col(text), F.lit(""))
+def _source(docs: DataFrame, train: Column, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, int]:
+    """Documents, their runs, and the bytes of all texts."""
     row = F.struct(F.col(doc_id).alias("doc"), F.coalesce(train, F.lit(False)).alias("train"))
-    source = docs.select(row.alias("doc"), whole.alias("text"))
+    source = docs.select(row.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     volume = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, -(-volume // bucket_bytes))
-    run_table = _run_table(source, max(8, -(-volume // _RUN_CHARS)))
-    doc_type = source.schema["doc"].dataType["doc"].dataType.simpleString()
-    spark, levels, answers = docs.sparkSession, [], None
+    return source, _run_table(source, max(8, -(-volume // _RUN_CHARS))), volume
+
+
+def _orders(
+    run_table: DataFrame, order: int, buckets: int, path: str, keep: bool = False, model: KatzModel | None = None
+) -> tuple[list[Level], DataFrame]:
+    """Levels and answers for the runs, order after order; by a kept model if there is one."""
+    spark, levels, answers = run_table.sparkSession, list(model.levels) if model else [], None
     shape = f"level int, {_COUNTED}"
     for k in range(1, order + 1):
+        known = tuple(levels[: k - 1])
         if k == 1:
             # By run, though each has one row: a batch of rows could hold many runs.
             asked = run_table.groupBy("run").applyInPandas(_ask_first(buckets), _PART)
         else:
             both = run_table.groupBy("run").cogroup(answers.groupBy("of_run"))
-            asked = both.applyInPandas(_ask(k, tuple(levels), buckets), _PART)
-        path = new_folder(spark, f"katz-{k}")
-        asked.groupBy("bucket").applyInPandas(_count(k, tuple(levels)), shape).write.partitionBy("kind").option("compression", "zstd").parquet(path)
-        counted = spark.read.schema(shape).parquet(path)
-        levels.append(_level(counted, k))
-        new = counted.where("kind = 'answer'").select(
+            asked = both.applyInPandas(_ask(k, known, buckets), _PART)
+        if model:
+            asked = asked.unionByName(model.grams(k))
+        grouped = asked.groupBy("bucket").applyInPandas(_count(k, known, keep), shape)
+        grouped.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/order-{k}")
+        counted = spark.read.schema(shape).parquet(f"{path}/order-{k}")
+        if not model:
+            levels.append(_level(counted, k))
+        new = counted.where(f"kind = 'answer' AND run != {_MODEL}").select(
             F.col("run").alias("of_run"), "level", "bucket", "counts", "totals", "open", "classes", "owed"
         )
         answers = new if answers is None else answers.unionByName(new)
+    return levels, answers
+
+
+def _scored(run_table: DataFrame, answers: DataFrame, levels: Sequence[Level], order: int, buckets: int, doc_id: str) -> DataFrame:
     known = tuple(levels)
 
     def score(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
@@ -445,7 +455,8 @@ def score_texts(
         )
 
     both = run_table.groupBy("run").cogroup(answers.groupBy("of_run"))
-    shape = f"doc struct<doc:{doc_type},train:boolean>, n_tokens long, n_known long, base_score double, score double"
+    doc_type = run_table.schema["docs"].dataType.elementType.simpleString()
+    shape = f"doc {doc_type}, n_tokens long, n_known long, base_score double, score double"
     scored = both.applyInPandas(score, shape)
     return scored.select(
         F.col("doc.doc").alias(doc_id),
@@ -456,3 +467,103 @@ def score_texts(
         "base_score",
         "score",
     )
+
+
+def score_texts(
+    docs: DataFrame,
+    train: Column,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    order: int = 2,
+    bucket_bytes: int = 16 << 20,
+) -> DataFrame:
+    """Per row: ``doc_id, train, n_tokens, n_known, train_tokens, base_score, score``.
+
+    Tokens are the words of the text, parted by blanks and with A-Z lower-cased, and its end; a null text
+    is empty and has its end only. The model of n-grams up to ``order`` learns from the rows where ``train``
+    is true, null counting as false; ``score`` is its log10 probability of the text, ``base_score`` that of
+    words with one added to each count. A word the model does not know has the probability of all unknown
+    ones together. Without any training rows all words are unknown and both scores are 0. Equal texts have
+    equal scores; an empty table gives no rows; other columns are not read. A task holds a run of 8 MB of
+    text or a single longer one, or a bucket of about ``bucket_bytes`` of text, whatever the counts are.
+
+    Learning and scoring in one go: counts meet their texts as they are summed and are not kept. ``fit_katz``
+    keeps them, for other texts.
+    """
+    if order < 1:
+        raise ValueError("order must be at least 1")
+    _, run_table, volume = _source(docs, train, doc_id, text)
+    buckets = max(8, -(-volume // bucket_bytes))
+    levels, answers = _orders(run_table, order, buckets, new_folder(docs.sparkSession, "katz"))
+    return _scored(run_table, answers, levels, order, buckets, doc_id)
+
+
+@dataclass(frozen=True)
+class KatzModel:
+    """A kept model: tables of n-grams by order and bucket, and what is known of each order."""
+
+    spark: SparkSession
+    path: str
+    order: int
+    buckets: int
+    levels: tuple[Level, ...]
+
+    def grams(self, order: int) -> DataFrame:
+        """N-grams of an order with their counts, as parts of a run of their own."""
+        held = self.spark.read.schema(f"level int, {_COUNTED}").parquet(f"{self.path}/order-{order}").where("kind = 'gram'")
+        names = [c.split()[0] for c in _PART.split(", ")]
+        given = {"run": F.lit(_MODEL).cast("bigint"), "times": F.col("counts")}
+        return held.select(*[given.get(n, F.col(n)).alias(n) for n in names])
+
+    def score(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+        """As ``score_texts``, for texts that the model need not have seen; nothing is learned from them."""
+        _, run_table, _ = _source(docs, F.lit(False), doc_id, text)
+        folder = new_folder(self.spark, "katz-asked")
+        levels, answers = _orders(run_table, self.order, self.buckets, folder, model=self)
+        return _scored(run_table, answers, levels, self.order, self.buckets, doc_id)
+
+
+_LEVEL = (
+    "level int, buckets long, seen array<long>, tokens long, words long, frequent binary, contexts binary,"
+    " totals binary, classes binary, owed binary"
+)
+
+
+def fit_katz(
+    docs: DataFrame, path: str, train: Column | None = None, text: str = "text", order: int = 2, bucket_bytes: int = 16 << 20
+) -> KatzModel:
+    """Learn from all rows of ``docs``, or those where ``train`` is true, and keep the model at ``path``.
+
+    Counts lie in a Parquet table for each order, partitioned by kind and in rows by bucket; with them what
+    backoff weights are made of: totals, classes of followers and what followers leave one order below.
+    """
+    spark = docs.sparkSession
+    _, run_table, volume = _source(docs.withColumn("_no", F.lit(0)), F.lit(True) if train is None else train, "_no", text)
+    buckets = max(8, -(-volume // bucket_bytes))
+    levels, _ = _orders(run_table, order, buckets, path, keep=True)
+    rows = []
+    for k, level in enumerate(levels, 1):
+        parted = level.parted
+        classes = np.array([m for _, m, _ in parted.values()], np.int64).reshape(-1, TOP + 1)
+        rows.append(
+            (
+                k, buckets, list(level.seen), level.tokens, level.words, bytearray(level.frequent.tobytes()),
+                bytearray(np.array(list(parted), _U).tobytes()), bytearray(packed(np.array([t for t, _, _ in parted.values()], np.int64))),
+                bytearray(packed(classes.ravel())), bytearray(np.array([p for _, _, p in parted.values()], float).tobytes()),
+            )
+        )
+    spark.createDataFrame(rows, _LEVEL).coalesce(1).write.parquet(f"{path}/levels")
+    return read_katz(spark, path)
+
+
+def read_katz(spark: SparkSession, path: str) -> KatzModel:
+    """The model that ``fit_katz`` has kept at ``path``."""
+    rows = spark.read.schema(_LEVEL).parquet(f"{path}/levels").orderBy("level").collect()  # a row for each order
+    levels = []
+    for r in rows:
+        classes = unpacked(bytes(r["classes"])).reshape(-1, TOP + 1)
+        owed, totals = np.frombuffer(bytes(r.owed)), unpacked(bytes(r.totals))
+        contexts = np.frombuffer(bytes(r.contexts), _U)
+        parted = {c: (int(t), m, float(p)) for c, t, m, p in zip(contexts.tolist(), totals, classes, owed)}
+        levels.append(Level(tuple(r.seen), r.tokens, r.words, np.frombuffer(bytes(r.frequent), _U), parted))
+    return KatzModel(spark, path, len(levels), rows[0].buckets, tuple(levels))

@@ -97,6 +97,23 @@ def test_against_plain_model(spark, monkeypatch, order, small):
         assert math.isclose(r.score, model.score(w), rel_tol=1e-9), (r, model.score(w))
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_a_kept_model_scores_other_texts(spark, monkeypatch, tmp_path, order):
+    monkeypatch.setattr(katz, "_FREQUENT", 20)
+    rows = corpus(7)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    path = str(tmp_path / "model")
+    katz.fit_katz(df.where("doc_id % 3 != 1"), path, order=order, bucket_bytes=2000)
+    other = spark.createDataFrame(corpus(8, 40), "doc_id long, text string")
+    words = {i: (t or "").lower().split() for i, t in rows}
+    model = Plain([w for i, w in words.items() if i is not None and i % 3 != 1], order)
+    got = {r.doc_id: r for r in katz.read_katz(spark, path).score(other).collect()}
+    for i, t in corpus(8, 40):
+        w = (t or "").lower().split()
+        assert math.isclose(got[i].score, model.score(w), rel_tol=1e-9) and got[i].n_tokens == len(w) + 1
+        assert (got[i].train, got[i].train_tokens) == (False, model.n)
+
+
 def test_frequent_contexts_are_parted_by_follower():
     context = np.array([7, 7, 7, 7, 9, 9], np.uint64)
     word = np.array([1, 2, 3, 4, 5, 6], np.uint64)
