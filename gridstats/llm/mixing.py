@@ -9,7 +9,10 @@ whole copies, size by size, with what rounding leaves carried to the next smalle
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+import numpy as np
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,6 +80,88 @@ def newton_rate(mass: Column, target: Column, steps: int = 60) -> Column:
     return F.when((mass > 0) & (target > 0), F.exp(best)).otherwise(0.0)
 
 
+@dataclass(frozen=True)
+class Balance:
+    """Multipliers of the constraints, and how far their sums were from the targets before each step, the
+    largest share of a target."""
+
+    multipliers: dict[str, float]
+    residuals: list[float]
+
+    def rate(self, constraints: Mapping[str, Column]) -> Column:
+        """Copies a document is worth: ``exp`` of the sum of its constraints' multipliers."""
+        return F.exp(sum((c.cast("double") * self.multipliers[n] for n, c in constraints.items()), F.lit(0.0)))
+
+
+def balance(
+    docs: DataFrame,
+    constraints: Mapping[str, Column],
+    targets: Mapping[str, float],
+    size: Column,
+    steps: int = 50,
+    tolerance: float = 1e-9,
+) -> Balance:
+    """Entropy balancing under any token constraints: ``sum(size * x * rate) = target`` for each of them.
+
+    ``constraints`` are columns with the share of a document's words that counts towards each target, such as
+    1 for the documents of a source and 0 for others; they may overlap. The rates that meet all of them with
+    the greatest entropy over words are ``exp(x . lambda)``, and lambda minimises a convex function. Each
+    Newton step sums its gradient and its Hessian over all documents in one aggregate; the driver gets these
+    ``m + m * m`` numbers, not the documents, and halves a step that does not bring the function down. Null
+    shares and sizes count as 0. Targets that no rates can meet end in an error, as do constraints that say
+    the same twice. ``docs`` is read once for each step, so keep sizes and shares in a small table first.
+    """
+    names = list(constraints)
+    if set(targets) != set(names):
+        raise ValueError("constraints and targets must have the same names")
+    if min(targets.values(), default=1) <= 0:
+        raise ValueError("targets must be positive")
+    wanted = np.array([float(targets[n]) for n in names])
+    x = [F.coalesce(constraints[n].cast("double"), F.lit(0.0)).alias(f"x{i}") for i, n in enumerate(names)]
+    held = docs.select(F.coalesce(size.cast("double"), F.lit(0.0)).alias("size"), *x)
+
+    def sums(at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        tilt = F.exp(sum((F.col(f"x{i}") * float(v) for i, v in enumerate(at)), F.lit(0.0))) * F.col("size")
+        m = range(len(names))
+        rows = held.withColumn("mass", tilt).agg(
+            F.sum("mass").alias("all"),
+            *[F.sum(F.col("mass") * F.col(f"x{i}")).alias(f"g{i}") for i in m],
+            *[F.sum(F.col("mass") * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"h{i}_{j}") for i in m for j in m if i <= j],
+        )
+        row = rows.first()
+        gradient = np.array([row[f"g{i}"] or 0.0 for i in m])
+        hessian = np.array([[row[f"h{min(i, j)}_{max(i, j)}"] or 0.0 for j in m] for i in m]).reshape(len(m), len(m))
+        return (row["all"] or 0.0) - float(at @ wanted), gradient - wanted, hessian
+
+    at, residuals = np.zeros(len(names)), []
+    value, gradient, hessian = sums(at)
+    for _ in range(steps):
+        residuals.append(float(np.abs(gradient / wanted).max(initial=0.0)))
+        if residuals[-1] <= tolerance:
+            return Balance(dict(zip(names, at.tolist())), residuals)
+        try:
+            move = np.linalg.solve(hessian, -gradient)
+        except np.linalg.LinAlgError as error:
+            raise ValueError("constraints depend on each other, or no document is in one of them") from error
+        share = min(1.0, 4.0 / float(np.abs(move).max()))
+        while True:
+            new = sums(at + share * move)
+            if np.isfinite(new[0]) and new[0] <= value + 1e-4 * share * float(gradient @ move) + 1e-12 * abs(value):
+                break
+            share /= 2
+            if share < 1e-9:
+                raise ValueError(f"targets cannot be met: off by {residuals[-1]:.3g} of one")
+        at, (value, gradient, hessian) = at + share * move, new
+    raise ValueError(f"targets not met after {steps} steps: off by {residuals[-1]:.3g} of one")
+
+
+def balanced_copies(rate: Column, doc_id: Column, text: Column, seed: int = 0) -> Column:
+    """Whole copies for a rate: its floor, and one more for a share of documents that equals the rest,
+    chosen by a hash of id and text, so that reruns agree."""
+    u = F.pmod(F.xxhash64(F.lit(seed), doc_id, text), F.lit(1 << 40)) / float(1 << 40)
+    return (F.floor(rate) + (u < rate - F.floor(rate)).cast("int")).cast("int")
+
+
 def _shares(sized: DataFrame, most: int, step: int = 256) -> DataFrame:
     """Per source and size: ``of_src, of_size, n_same, source_size, target, rate, share``, the last the copies
     that all documents of the size get together.
