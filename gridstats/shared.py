@@ -4,12 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@lru_cache
+def _temporary_folder(session: str) -> str:
+    """One folder for a session, however often it is asked for."""
+    return tempfile.mkdtemp(prefix="gridstats-")
+
+
 def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     """The checkpoint folder: the context's, else the one ``spark.checkpoint.dir`` names, else
     ``fallback``. A session whose executors are threads of the driver, as in tests, may have none of
@@ -19,13 +31,29 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
         return (folder or fallback).rstrip("/")
     master = spark.sparkContext.master
     if master == "local" or master.startswith("local["):
-        return tempfile.mkdtemp(prefix="gridstats-")
+        return _temporary_folder(spark.sparkContext.applicationId)
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def new_folder(spark: SparkSession, name: str = "table", fallback: str | None = None) -> str:
-    """A name in the shared folder that no one has used."""
-    return f"{shared_folder(spark, fallback)}/gridstats-{name}-{uuid.uuid4().hex}"
+    """A name in the shared folder that no one has used; within ``scratch``, in its folder."""
+    root = _scratch.get() or shared_folder(spark, fallback)
+    return f"{root}/gridstats-{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, fallback: str | None = None) -> Iterator[str]:
+    """A folder for all tables that are kept within the block, removed when it ends.
+
+    Results that read these tables must be written, or otherwise used up, before that.
+    """
+    path = new_folder(spark, "scratch", fallback)
+    before = _scratch.set(path)
+    try:
+        yield path
+    finally:
+        _scratch.reset(before)
+        remove_folder(spark, path)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
