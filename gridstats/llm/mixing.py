@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridstats.llm.base import fresh, placed
+from gridstats.shared import kept
 
 
 def word_count(text: Column) -> Column:
@@ -227,6 +228,7 @@ def mix(
         F.xxhash64(F.col(doc_id), F.col(text)).alias("mark"),
         F.struct(*[F.col(c) for c in carry]).alias("kept") if carry else F.lit(0).alias("kept"),
     )
+    named = kept(named, "sizes")  # the texts are split once
     sized = named.groupBy("src", "size").agg(F.count("*").alias("n_same"))
     words = sized.select("src", "n_same", (F.col("size") * F.col("n_same")).alias("words"))
     targets = source_targets(words, "src", "words", weights, total, most)
