@@ -48,23 +48,28 @@ def without(df: DataFrame, place: str, dropped: DataFrame, at: str) -> DataFrame
     return df.join(gone, same, "left_anti").drop(place)
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, max_rounds: int = 60, hint: str | None = None) -> DataFrame:
     """Connected components of ``links (a, b)``: ``(node, root)``, root the smallest node of each.
 
     Large-star and small-star steps in turn: every node's neighbours are tied to the smallest of them, so
     that after a number of rounds that grows with the logarithm of the size each node hangs at its root.
     Each round is a written table; no component is ever gathered in one place. Links of a node to itself
-    are allowed, nodes without any link are not in the result.
+    are allowed, nodes without any link are not in the result. ``hint`` is the strategy of the joins, such as
+    ``merge`` where tables that Spark would broadcast are more than the driver should hold.
     """
+
+    def hinted(df: DataFrame) -> DataFrame:
+        return df.hint(hint) if hint else df
+
     links = kept(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
     seen = None
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.join(low, "a").where(F.col("b") > F.col("a"))
+        large = both.join(hinted(low), "a").where(F.col("b") > F.col("a"))
         large = large.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a")
+        small = large.join(hinted(low), "a")
         tied = small.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b")
         links = kept(tied.unionByName(low.select("a", F.col("low").alias("b"))).distinct(), "links")
         now = links.agg(

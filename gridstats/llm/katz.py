@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridstats.llm.repeats import Rolling, _cuts
-from gridstats.llm.runs import kept_runs, packed, runs, unpacked
+from gridstats.llm.runs import by_bucket, kept_runs, packed, runs, unpacked
 from gridstats.shared import new_folder
 
 _U = np.uint64
@@ -422,7 +422,7 @@ def _orders(
             asked = both.applyInPandas(_ask(k, known, buckets), _PART)
         if model:
             asked = asked.unionByName(model.grams(k))
-        grouped = asked.groupBy("bucket").applyInPandas(_count(k, known, keep), shape)
+        grouped = by_bucket(asked, buckets).applyInPandas(_count(k, known, keep), shape)
         grouped.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/order-{k}")
         counted = spark.read.schema(shape).parquet(f"{path}/order-{k}")
         if not model:

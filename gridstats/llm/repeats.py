@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridstats.llm.runs import kept_runs, runs
+from gridstats.llm.runs import by_bucket, kept_runs, runs
 from gridstats.shared import kept
 
 _U = np.uint64
@@ -267,7 +267,8 @@ def repeated_passages(
         return pd.DataFrame(rows if held else [], columns=["run", "ids", "texts", "places"])
 
     # By run, though each has one row: a batch of rows could hold many runs.
-    answers = run_table.groupBy("run").applyInPandas(ask_phrases, _DEALT).groupBy("bucket").applyInPandas(_met, _ANSWER)
+    answers = run_table.groupBy("run").applyInPandas(ask_phrases, _DEALT)
+    answers = by_bucket(answers, buckets).applyInPandas(_met, _ANSWER)
     left = run_table.groupBy("run").cogroup(answers.groupBy("of_run"))
     open_runs = kept_runs(left.applyInPandas(leave, f"{shape}, places array<binary>"), n_runs, "open")
     parts = 4 * buckets
@@ -297,7 +298,8 @@ def repeated_passages(
             made.append((ids[16 * i : 16 * i + 16], [{"start": s, "end": e} for s, e in spans], keep.hexdigest()))
         return pd.DataFrame(made, columns=["of", "found", "left"])
 
-    answers = open_runs.groupBy("run").applyInPandas(ask_strings, _DEALT).groupBy("bucket").applyInPandas(_met, _ANSWER)
+    answers = open_runs.groupBy("run").applyInPandas(ask_strings, _DEALT)
+    answers = by_bucket(answers, parts).applyInPandas(_met, _ANSWER)
     both = open_runs.groupBy("run").cogroup(answers.groupBy("of_run"))
     removed = both.applyInPandas(cut, "of binary, found array<struct<start:long,end:long>>, left string")
     copies = rows.groupBy("text_id").agg(F.count("*").alias("copies")).where("copies > 1")

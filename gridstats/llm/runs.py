@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 
 from gridstats.shared import new_folder
 
@@ -51,6 +51,12 @@ def kept_runs(made: DataFrame, n_buckets: int, name: str) -> DataFrame:
     return spark.table(table)
 
 
+def by_bucket(parts: DataFrame, buckets: int) -> GroupedData:
+    """Rows grouped by ``bucket``, in as many tasks as there are buckets: the number of buckets grows with the
+    input, where that of shuffle partitions need not, and a task reads one or a few."""
+    return parts.repartition(buckets, "bucket").groupBy("bucket")
+
+
 def packed(values: np.ndarray) -> bytes:
     """Unsigned numbers with a byte in front that tells their width."""
     most = int(values.max()) if len(values) else 0
