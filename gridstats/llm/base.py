@@ -52,7 +52,8 @@ def components(links: DataFrame, max_rounds: int = 60, hint: str | None = None)
     """Connected components of ``links (a, b)``: ``(node, root)``, root the smallest node of each.
 
     Large-star and small-star steps in turn: every node's neighbours are tied to the smallest of them, so
-    that after a number of rounds that grows with the logarithm of the size each node hangs at its root.
+    that after a number of rounds that grows with the logarithm of the size each node hangs at its root. The
+    last round is told by its links: every node has one, and no root hangs at another node.
     Each round is a written table; no component is ever gathered in one place. Links of a node to itself
     are allowed, nodes without any link are not in the result. ``hint`` is the strategy of the joins, such as
     ``merge`` where tables that Spark would broadcast are more than the driver should hold.
@@ -62,7 +63,6 @@ def components(links: DataFrame, max_rounds: int = 60, hint: str | None = None)
         return df.hint(hint) if hint else df
 
     links = kept(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
-    seen = None
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
@@ -72,10 +72,9 @@ def components(links: DataFrame, max_rounds: int = 60, hint: str | None = None)
         small = large.join(hinted(low), "a")
         tied = small.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b")
         links = kept(tied.unionByName(low.select("a", F.col("low").alias("b"))).distinct(), "links")
-        now = links.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if now == seen:
+        ends = links.select(F.col("a").alias("node"), F.lit(1).alias("ups"), F.lit(0).alias("downs"))
+        ends = ends.unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("ups"), F.lit(1).alias("downs")))
+        each = ends.groupBy("node").agg(F.sum("ups").alias("ups"), F.max("downs").alias("downs"))
+        if not each.agg(F.count_if(F.expr("ups > 1 or (ups = 1 and downs = 1)"))).first()[0]:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = now
     raise RuntimeError(f"components not settled after {max_rounds} rounds")

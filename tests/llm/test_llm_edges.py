@@ -396,6 +396,13 @@ def test_all_near_pairs_are_tied(spark, depth_rows, block):
     assert {x: found.get(x, x) for x in root} == {x: top(x) for x in root}
 
 
+def test_components_that_are_stars_end_after_a_round(spark):
+    stars = [(r, r * 100 + i) for r in range(1, 4) for i in range(1, 6)] + [(7, 7)]
+    links = spark.createDataFrame(stars, "a bigint, b bigint")
+    found = {r.node: r.root for r in base.components(links, max_rounds=1).collect()}
+    assert found == {n: r for r, n in stars if n != r}
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5), (1001, 1000)]
     found = {r.node: r.root for r in base.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
