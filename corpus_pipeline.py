@@ -31,8 +31,9 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of each group tied together by texts that share 0.8 of their shingles."""
-    return similar.drop_similar(docs, width=5, similarity=0.8)
+    """The row with the smallest id of each group tied together by texts that share 0.8 of their shingles; SimHash
+    fingerprints within 10 bits are candidates first, what they leave apart is looked for exactly."""
+    return similar.drop_similar(docs, width=5, similarity=0.8, radius=10)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,17 @@ SEED = 42
 _STEP = 65536
 
 
+def bits_held(hashes: np.ndarray) -> np.ndarray:
+    """In how many 64-bit hashes each bit is set, the highest bit first."""
+    rows = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return np.unpackbits(rows, axis=1).sum(axis=0, dtype=np.int64)
+
+
+def majority(held: np.ndarray, n: int) -> int:
+    """The bits that over half of ``n`` hashes hold."""
+    return int(np.packbits(held * 2 > n).view(">u8")[0])
+
+
 def fingerprint(text: str | None, width: int = 4) -> int:
     """Bits set in over half the XXH64 hashes of the word shingles; 0 without words.
 
@@ -44,9 +55,8 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     last = ends[width - 1 :] or ends[-1:]
     for i in range(0, n, _STEP):
         hashes = [take(line[s:e], SEED) for s, e in zip(starts[i : i + _STEP], last[i : i + _STEP])]
-        rows = np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8)
-        set_bits += np.unpackbits(rows, axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(set_bits * 2 > n).view(">u8")[0])
+        set_bits += bits_held(np.array(hashes, np.uint64))
+    return majority(set_bits, n)
 
 
 def _signed(value: int) -> int:
@@ -116,7 +126,7 @@ def build_tree(sample: np.ndarray, depth: int, radius: int) -> Tree:
 
 
 def _forest(pairs: np.ndarray) -> pd.DataFrame:
-    """Of links ``(a, b)`` as many as keep together what they tie together."""
+    """Of what links ``(a, b)`` tie together, links of the smallest to each other."""
     above: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -124,12 +134,11 @@ def _forest(pairs: np.ndarray) -> pd.DataFrame:
             above[x] = x = above.get(up, up)
         return x
 
-    used = []
     for a, b in pairs.tolist():
         ra, rb = top(a), top(b)
         if ra != rb:
             above[max(ra, rb)] = min(ra, rb)
-            used.append((a, b))
+    used = [(top(x), x) for x in above]
     return pd.DataFrame(np.array(used, dtype=np.int64).reshape(-1, 2), columns=["a", "b"])
 
 

@@ -1,9 +1,12 @@
-"""Near duplicates by the Jaccard similarity of word shingles, exactly.
-
-A set-similarity join by prefixes: shingles have one order for all texts, rare ones first, and two sets of
-the asked similarity share a shingle among the first few of both. How many texts hold each shingle is
-counted in buckets of hashes; a text whose first shingles are its own alone has no partner and goes no
-further. What common first shingles tie together is read again, and the sets themselves are compared.
+"""Near duplicates by SimHash fingerprints of word shingles, checked by their Jaccard similarity, and exactly.
+
+Fingerprints within a radius are found in the vantage-point tree of ``simhash``; what they tie together is
+read again, and the shingle sets themselves are compared. Fingerprints of similar sets may lie further
+apart, so a set-similarity join by prefixes looks for the links still missing: shingles have one order for
+all texts, rare ones first, and two sets of the asked similarity share a shingle among the first few of
+both. How many texts hold each shingle is counted in buckets of hashes; a text whose first shingles are its
+own alone has no partner and is not sought in the tree. First shingles common to texts that the tree has
+not tied together make further candidates, compared in the same way.
 """
 
 from __future__ import annotations
@@ -20,12 +23,14 @@ from pyspark.sql import functions as F
 from gridstats.llm.base import components, placed, row_order, without
 from gridstats.llm.repeats import Rolling, _cuts
 from gridstats.llm.runs import by_bucket, kept_runs, packed, runs, unpacked
+from gridstats.llm.simhash import bits_held, majority, near_links
 from gridstats.shared import kept
 
 _U = np.uint64
 _SEED = 42
 _RUN_CHARS = 8 << 20
 _MANY = 255  # texts from which on shingles count as equally frequent
+_STEP = 65536
 
 
 def shingles(text: str | None, width: int, roll: Rolling | None = None) -> np.ndarray:
@@ -51,6 +56,12 @@ def _key(hashes: np.ndarray) -> int:
     return int(np.array([xxhash.xxh64_intdigest(hashes.tobytes(), _SEED)], _U).view(np.int64)[0])
 
 
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """The SimHash fingerprint of a set of shingles, as a signed number."""
+    held = sum((bits_held(hashes[i : i + _STEP]) for i in range(0, len(hashes), _STEP)), np.zeros(64, np.int64))
+    return int(np.array([majority(held, len(hashes))], _U).view(np.int64)[0])
+
+
 def prefix_length(n: int, similarity: float) -> int:
     """How many of the first of ``n`` shingles a similar set must share one of."""
     return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
@@ -125,7 +136,8 @@ def _common_prefixes(run_table: DataFrame, width: int, similarity: float, bucket
 def similar_links(keys: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     """Links that tie together what pairs of ``sets`` of the similarity or more tie together.
 
-    From a set on to all sets not reached yet that are similar to it, until all are reached.
+    From a set on to all sets not reached yet that are similar to it, until all are reached; each is linked to
+    the set that began. By ascending keys these links are stars already, which saves rounds of ``components``.
     """
     size = np.array([len(s) for s in sets])
     ends = np.cumsum(size)
@@ -147,24 +159,43 @@ def similar_links(keys: np.ndarray, sets: list[np.ndarray], similarity: float) -
             whole = np.maximum(size + size[at] - common, 1)
             new = np.flatnonzero(left & (common / whole >= similarity))
             left[new] = False
-            links += [(keys[at], keys[x]) for x in new]
+            links += [(keys[seed], keys[x]) for x in new]
             stack += new.tolist()
     return links
 
 
-def _similar_roots(
-    at: DataFrame, place: str, text: str, firsts: DataFrame, prefixes: DataFrame, width: int, similarity: float,
-    block_shingles: int, block_rows: int,
-) -> DataFrame:
-    """``node, root`` of the keys of ``firsts`` that have similar ones."""
-    prefixes = kept(prefixes.distinct(), "prefixes")
-    lows = prefixes.groupBy(F.col("shingle").alias("of")).agg(F.min("key").alias("low"))
+def near_groups(points: DataFrame, radius: int) -> DataFrame:
+    """``root`` and the columns of ``points`` (``key, fp, ..``) that chains of fingerprints within ``radius`` tie to
+    others."""
+    marks = kept(points.select("fp").distinct(), "fingerprints")
+    roots = components(near_links(marks, radius), hint="merge")
+    rooted = points.join(roots.hint("merge"), F.col("fp") == F.col("node"), "left")
+    rooted = rooted.select(F.coalesce("root", "fp").alias("root"), *points.columns)
+    several = rooted.groupBy(F.col("root").alias("of")).agg(F.count("*").alias("texts")).where("texts > 1")
+    return rooted.join(several.hint("merge"), F.col("root") == F.col("of")).drop("of", "texts")
+
+
+def _groups_left(points: DataFrame, prefixes: DataFrame, links: DataFrame) -> DataFrame:
+    """``root`` and the columns of ``points`` that common first shingles tie together, where ``links`` do not yet."""
+    labels = links.groupBy(F.col("b").alias("member")).agg(F.min("a").alias("label"))
+    held = prefixes.join(labels.hint("merge"), F.col("key") == F.col("member"), "left")
+    held = held.select("shingle", "key", F.coalesce("label", "key").alias("label"))
+    lows = held.groupBy(F.col("shingle").alias("of")).agg(
+        F.min("key").alias("low"), (F.min("label") < F.max("label")).alias("apart")
+    )
     # Merge joins: what Spark would broadcast here comes from all texts, and would pass through the driver.
-    links = prefixes.join(lows.hint("merge"), F.col("shingle") == F.col("of")).select(F.col("key").alias("a"), F.col("low").alias("b"))
-    ties = components(links, hint="merge")
+    of_low = prefixes.join(lows.where("apart").hint("merge"), F.col("shingle") == F.col("of"))
+    ties = components(of_low.select(F.col("key").alias("a"), F.col("low").alias("b")), hint="merge")
     ties = ties.unionByName(ties.select(F.col("root").alias("node"), "root").distinct())
-    tied = firsts.join(ties.hint("merge"), F.col("key") == F.col("node")).select("root", "key", "n", F.col("first.place").alias("_at"))
-    tied = kept(tied, "tied")
+    return points.join(ties.hint("merge"), F.col("key") == F.col("node")).drop("node")
+
+
+def _checked_links(
+    at: DataFrame, place: str, text: str, groups: DataFrame, width: int, similarity: float, block_shingles: int,
+    block_rows: int,
+) -> DataFrame:
+    """Links ``(a, b)`` between similar texts, which tie together what similar pairs within ``groups`` tie together."""
+    tied = kept(groups.select("root", "key", "n", F.col("first.place").alias("_at")), "tied")
     held = tied.groupBy("root").agg(
         F.greatest(F.ceil(F.sum("n") / block_shingles), F.ceil(F.count("*") / block_rows)).alias("parts")
     )
@@ -199,12 +230,12 @@ def _similar_roots(
 
     def similar(block: pd.DataFrame) -> pd.DataFrame:
         links = []
-        for _, group in block.groupby("root"):
+        for _, group in block.sort_values("key").groupby("root"):
             found = [np.frombuffer(s, _U) for s in group["set"]]
             links += similar_links(group["key"].to_numpy(np.int64), found, similarity)
         return pd.DataFrame(np.array(links, np.int64).reshape(-1, 2), columns=["a", "b"])
 
-    return components(joined.groupBy("unit", "low", "high").applyInPandas(similar, "a long, b long"), hint="merge")
+    return joined.groupBy("unit", "low", "high").applyInPandas(similar, "a long, b long")
 
 
 def drop_similar(
@@ -216,14 +247,18 @@ def drop_similar(
     block_shingles: int = 1 << 20,
     block_rows: int = 2048,
     bucket_bytes: int = 24 << 20,
+    radius: int = 10,
 ) -> DataFrame:
     """``docs`` with the first row of each group tied together by pairs of texts whose sets of ``width``-word
     shingles have a Jaccard similarity of ``similarity`` or more, all columns as they are.
 
-    No such pair is missed, whatever the lengths. Texts with equal sets are together, so are texts without
-    words, null ones among them; of rows with one id the one that lies first counts as first, null ids come
-    last; an empty table stays empty. A task holds the shingles of 8 MB of texts or of a single longer one,
-    or a bucket of about ``bucket_bytes`` of text, or a block of ``block_rows`` candidates.
+    Fingerprints that differ in ``radius`` bits or fewer are candidates first, then common first shingles
+    where these leave texts apart: no pair is missed, whatever the lengths or the radius. Fingerprints of
+    equally large sets of a similarity of 0.8 differ in 9.6 bits on average, random ones rarely in 10 or fewer.
+    Texts with equal sets are together, so are texts without words, null ones among them; of rows with one
+    id the one that lies first counts as first, null ids come last; an empty table stays empty. A task holds
+    the shingles of 8 MB of texts or of a single longer one, or a bucket of about ``bucket_bytes`` of text,
+    or a block of ``block_rows`` candidates.
     """
     at, place = placed(docs)
     order = row_order(F.col(doc_id), F.col(place)).alias("row")
@@ -234,22 +269,35 @@ def drop_similar(
         roll = Rolling(5)
         for number, rows in runs(batches, "text", _RUN_CHARS):
             texts = [t or "" for t in rows["text"]]
-            keys, sizes = [], []
+            keys, marks, sizes = [], [], []
             for t in texts:
                 own = shingles(t, width, roll)
                 keys.append(_key(own))
+                marks.append(set_fingerprint(own))
                 sizes.append(len(own))
-            row = (number, list(rows["row"]), np.array(keys, np.int64).tobytes(), keys, sizes, texts)
-            yield pd.DataFrame([row], columns=["run", "rows", "keys", "key", "n", "texts"])
+            row = (number, list(rows["row"]), np.array(keys, np.int64).tobytes(), keys, marks, sizes, texts)
+            yield pd.DataFrame([row], columns=["run", "rows", "keys", "key", "fp", "n", "texts"])
 
     row_type = source.schema["row"].dataType.simpleString()
-    shape = f"run long, rows array<{row_type}>, keys binary, key array<long>, n array<long>, texts array<string>"
-    run_table = kept_runs(source.mapInPandas(gather, shape), max(8, -(-volume // _RUN_CHARS)), "texts")
-    each = run_table.select(F.explode(F.arrays_zip("rows", "key", "n")).alias("e"))
-    rows = each.select(F.col("e.rows").alias("row"), "e.key", "e.n")
-    firsts = kept(rows.groupBy("key").agg(F.min("row").alias("first"), F.min("n").alias("n")), "distinct")
+    shape = f"run long, rows array<{row_type}>, keys binary, key array<long>, fp array<long>, n array<long>"
+    made = source.mapInPandas(gather, f"{shape}, texts array<string>")
+    run_table = kept_runs(made, max(8, -(-volume // _RUN_CHARS)), "texts")
+    each = run_table.select(F.explode(F.arrays_zip("rows", "key", "fp", "n")).alias("e"))
+    rows = each.select(F.col("e.rows").alias("row"), "e.key", "e.fp", "e.n")
+    firsts = rows.groupBy("key").agg(F.min("row").alias("first"), F.min("fp").alias("fp"), F.min("n").alias("n"))
+    firsts = kept(firsts, "distinct")
     prefixes = _common_prefixes(run_table, width, similarity, max(8, -(-volume // bucket_bytes)))
-    roots = _similar_roots(at, place, text, firsts, prefixes, width, similarity, block_shingles, block_rows)
+    prefixes = kept(prefixes.distinct(), "prefixes")
+    partners = prefixes.select(F.col("key").alias("of_key")).distinct().hint("merge")
+    points = kept(firsts.join(partners, F.col("key") == F.col("of_key"), "left_semi"), "points")
+
+    def checked(groups: DataFrame) -> DataFrame:
+        links = _checked_links(at, place, text, groups, width, similarity, block_shingles, block_rows)
+        return kept(links, "links")
+
+    near = checked(near_groups(points, radius))
+    links = near.unionByName(checked(_groups_left(points, prefixes, near)))
+    roots = components(links, hint="merge")
     rooted = firsts.join(roots, F.col("key") == F.col("node"), "left")
     rooted = rooted.select("key", "first", F.coalesce("root", "key").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("lowest"))

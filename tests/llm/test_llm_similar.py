@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridstats.llm import similar
@@ -79,3 +80,46 @@ def test_similar_links_against_all_pairs():
         old, new = max(root[a], root[b]), min(root[a], root[b])
         root = {i: new if r == old else r for i, r in root.items()}
     assert {i for i in ids if root[i] == i} == brute({i: texts[i] for i in ids})[0]
+
+
+def test_fingerprints_alone_tie_close_copies(spark, monkeypatch):
+    """Without the exact join for what they leave apart, fingerprints in the tree tie texts with a word changed."""
+    rng = np.random.default_rng(4)
+    words, texts = [f"w{k}" for k in range(3000)], {}
+    for i in range(20):
+        own = list(rng.choice(words, 300))
+        texts[i] = " ".join(own)
+        own[rng.integers(300)] = "changed"
+        texts[100 + i] = " ".join(own)
+    marks = {i: similar.set_fingerprint(similar.shingles(t, 5)) for i, t in texts.items()}
+    assert all(((marks[i] ^ marks[100 + i]) & (2**64 - 1)).bit_count() <= 10 for i in range(20))
+
+    def nothing_left(points, prefixes, links):
+        return points.select(F.col("fp").alias("root"), "*").limit(0)
+
+    monkeypatch.setattr(similar, "_groups_left", nothing_left)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    assert left(corpus_pipeline.near_dedup_stage(spark, df, "")) == brute(texts)[0] == set(range(20))
+
+
+def test_near_groups_against_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    marks = [int(x) for x in rng.integers(-(2**63), 2**63, 150)]
+    for at in range(100):
+        for bit in rng.choice(64, int(rng.integers(0, 14)), replace=False):
+            marks.append(marks[at] ^ (1 << int(bit) if bit < 63 else 0))
+    for at in range(40):
+        far = int(sum(1 << int(b) for b in rng.choice(63, int(rng.integers(8, 13)), replace=False)))
+        marks.append(marks[at] ^ far)
+    root = list(range(len(marks)))
+    for a, x in enumerate(marks):
+        for b, y in enumerate(marks[:a]):
+            if ((x ^ y) & (2**64 - 1)).bit_count() <= 10 and root[a] != root[b]:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = [new if r == old else r for r in root]
+    expected = {tuple(i for i, r in enumerate(root) if r == one) for one in set(root) if root.count(one) > 1}
+    points = spark.createDataFrame(list(enumerate(marks)), "key bigint, fp bigint")
+    found = {}
+    for r in similar.near_groups(points, 10).collect():
+        found.setdefault(r.root, []).append(r.key)
+    assert {tuple(sorted(g)) for g in found.values()} == expected
