@@ -54,7 +54,8 @@ def components(links: DataFrame, max_rounds: int = 60, hint: str | None = None)
     Large-star and small-star steps in turn: every node's neighbours are tied to the smallest of them, so
     that after a number of rounds that grows with the logarithm of the size each node hangs at its root. The
     last round is told by its links: every node has one, and no root hangs at another node.
-    Each round is a written table; no component is ever gathered in one place. Links of a node to itself
+    Each step of a round is a written table, so that no step is computed for the minimum and again for the join, and
+    plans, which the driver keeps, stay short; no component is ever gathered in one place. Links of a node to itself
     are allowed, nodes without any link are not in the result. ``hint`` is the strategy of the joins, such as
     ``merge`` where tables that Spark would broadcast are more than the driver should hold.
     """
@@ -67,11 +68,12 @@ def components(links: DataFrame, max_rounds: int = 60, hint: str | None = None)
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.join(hinted(low), "a").where(F.col("b") > F.col("a"))
-        large = large.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b").distinct()
+        large = kept(large.select(F.col("b").alias("a"), F.col("low").alias("b")), "large")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(hinted(low), "a")
-        tied = small.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b")
-        links = kept(tied.unionByName(low.select("a", F.col("low").alias("b"))).distinct(), "links")
+        # Both steps' links from one reading of the join: a neighbour to the smallest, and the node itself.
+        tied = small.select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
+        links = kept(tied.where("a != b").distinct(), "links")
         ends = links.select(F.col("a").alias("node"), F.lit(1).alias("ups"), F.lit(0).alias("downs"))
         ends = ends.unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("ups"), F.lit(1).alias("downs")))
         each = ends.groupBy("node").agg(F.sum("ups").alias("ups"), F.max("downs").alias("downs"))

@@ -403,6 +403,26 @@ def test_components_that_are_stars_end_after_a_round(spark):
     assert found == {n: r for r, n in stars if n != r}
 
 
+def test_a_round_of_components_runs_each_step_once(spark):
+    settings = {"spark.sql.shuffle.partitions": "31", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    links = spark.createDataFrame([(1, i) for i in range(2, 200)], "a bigint, b bigint").repartition(1)
+    tracker = spark.sparkContext.statusTracker()
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup("components-steps", "")
+    try:
+        base.components(links, max_rounds=1, hint="merge")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    stages = {s for j in tracker.getJobIdsForGroup("components-steps") for s in tracker.getJobInfo(j).stageIds}
+    tasks = [tracker.getStageInfo(s).numCompletedTasks for s in stages if tracker.getStageInfo(s)]
+    # Large step, small step, distinct links, the last look: each once over all partitions.
+    assert 4 * 31 <= sum(tasks) < 6 * 31, tasks
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5), (1001, 1000)]
     found = {r.node: r.root for r in base.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
